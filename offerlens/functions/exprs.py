@@ -30,7 +30,8 @@ def discount_pct(expected, published, digits: int = 6) -> Column:
     A zero published value gives NULL (ANSI division by zero raises).
     """
     pub = nullif_zero(published)
-    return F.round(F.lit(100.0) - F.lit(100.0) * col(expected) / pub, digits)
+    r = F.round(F.lit(100.0) - F.lit(100.0) * col(expected) / pub, digits)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)
 
 
 def days_between(later, earlier) -> Column:

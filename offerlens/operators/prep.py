@@ -127,7 +127,7 @@ def sample_rows(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = 0,
 
 
 def sample_per_group(df: DataFrame, group_col: str, n: int, key_cols: Sequence[str],
-                     seed: int = 0) -> DataFrame:
+                     seed: int = 0, tie_break: Sequence[str] = ()) -> DataFrame:
     """at most n rows per group, by hash order (shared by all configs).
 
     A bounded top-n per group: rows are pre-filtered by a per-group hash
@@ -135,7 +135,7 @@ def sample_per_group(df: DataFrame, group_col: str, n: int, key_cols: Sequence[s
     simple and Spark applies the per-partition rank limit before the
     shuffle (WindowGroupLimit)."""
     u = md5_unit(F.lit(seed), *key_cols)
-    w = Window.partitionBy(group_col).orderBy(u, *key_cols)
+    w = Window.partitionBy(group_col).orderBy(u, *key_cols, *tie_break)
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
 
 

@@ -71,15 +71,14 @@ def feature_ctes(outcome_source: str = "orders") -> list[tuple[str, str]]:
     labels = ", ".join(f"'{v}'" for v in REVENUE_BIN_LABELS)
     edges = " + ".join(f"CAST({i} * (q / 5.0::DOUBLE) <= offer_published_revenue AS INTEGER)" for i in range(1, 5))
     return [
-        ("p_lines", """
+        ("p_lines", f"""
             SELECT organization_id, offer_id, gsfa_customer_id,
                    product_cluster AS product_cluster_shp, created_date AS created_date_shp,
                    last_updated_date AS updated_date_shp,
                    CASE WHEN published_revenue <> 0 THEN published_revenue END AS published_revenue_shp,
                    expected_revenue AS expected_revenue_shp, recommended_revenue AS recommended_revenue_shp,
                    shipments AS shipments_shp, wps AS wps_shp, selected_pid_name AS selected_pid_name_shp,
-                   round(100.0::DOUBLE - 100.0::DOUBLE * expected_revenue
-                         / CASE WHEN published_revenue <> 0 THEN published_revenue END, 6) AS discount_shp
+                   {rsql("100.0::DOUBLE - 100.0::DOUBLE * expected_revenue / CASE WHEN published_revenue <> 0 THEN published_revenue END")} AS discount_shp
             FROM f_lines"""),
         ("p_offers", """
             SELECT organization_id, offer_id, gsfa_customer_id, opportunity_id,
@@ -221,3 +220,38 @@ def with_features(outcome_source: str = "orders", *extra: tuple[str, str]) -> st
 
 
 MASTER_SQL_COLUMNS = None  # filled by registry (same list as plans.master.MASTER_COLUMNS)
+
+
+def master_ctes() -> list[tuple[str, str]]:
+    """Master table (keep list + ids, numerics as double), target, modelling
+    filter, train/test windows -- as SQL."""
+    from offerlens.plans.master import MASTER_COLUMNS, NUMERIC, TEST_WINDOW, TRAIN_WINDOW
+    cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in NUMERIC else c for c in MASTER_COLUMNS)
+    return [
+        ("master", f"SELECT {cols}, offer_id, gsfa_customer_id FROM features"),
+        ("targeted", """
+            SELECT *, CASE WHEN final_outcome = 'Accepted' THEN 1
+                           WHEN final_outcome = 'Rejected' THEN 0
+                           WHEN final_outcome IS NULL OR final_outcome = 'In Progress' THEN CAST(NULL AS INTEGER)
+                           ELSE CAST(error('Unknown final outcome: ' || final_outcome) AS INTEGER) END AS accepted
+            FROM master"""),
+        ("modelling", """
+            SELECT * FROM targeted
+            WHERE discount_shp <= 99 AND discount_shp >= 0 AND accepted IS NOT NULL"""),
+        ("train", f"""
+            SELECT * FROM modelling WHERE created_date_off >= TIMESTAMP '{TRAIN_WINDOW[0]}'
+              AND created_date_off < TIMESTAMP '{TRAIN_WINDOW[1]}'"""),
+        ("test", f"""
+            SELECT * FROM modelling WHERE created_date_off >= TIMESTAMP '{TEST_WINDOW[0]}'
+              AND created_date_off < TIMESTAMP '{TEST_WINDOW[1]}'"""),
+    ]
+
+
+def with_modelling(*extra: tuple[str, str]) -> str:
+    return fx.fixture_ctes(*feature_ctes("orders"), *master_ctes(), *extra)
+
+
+def md5_unit_sql(*exprs: str) -> str:
+    """SQL twin of ``functions.exprs.md5_unit``."""
+    s = "concat_ws('|', " + ", ".join(f"CAST({e} AS VARCHAR)" for e in exprs) + ")"
+    return f"(CAST(('0x' || substr(md5({s}), 1, 13)) AS BIGINT)::DOUBLE / 4503599627370496.0::DOUBLE)"
