@@ -39,21 +39,33 @@ class LogisticScorer:
         "log_published_revenue": -0.15, "ecomm": 0.4, "prod_mix_tdexport": 0.5})
     fills: dict[str, float] = field(default_factory=lambda: {"log_published_revenue": 10.0})
 
-    def logit(self, discount: Column) -> Column:
-        z = F.lit(self.intercept) + F.lit(self.discount_coef) * discount
+    def base_logit(self, intercept: Column | None = None) -> Column:
+        """Row part of the logit (everything but the discount term); a plain
+        codegen'd column, computed once per row, not once per ladder step."""
+        z = F.lit(self.intercept) if intercept is None else intercept
         for c, b in self.coefs.items():
             z = z + F.lit(b) * F.coalesce(F.col(c).cast("double"), F.lit(self.fills.get(c, 0.0)))
         return z
 
-    def prob(self, discount: Column) -> Column:
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.logit(discount)))
-
-    def sql_prob(self, discount: str) -> str:
-        z = f"({self.intercept!r}::DOUBLE + {self.discount_coef!r}::DOUBLE * ({discount})"
+    def prob_from_base(self, base: Column, discount: Column,
+                       discount_coef: Column | None = None) -> Column:
+        bd = F.lit(self.discount_coef) if discount_coef is None else discount_coef
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-(base + bd * discount)))
+
+    def prob(self, discount: Column, intercept: Column | None = None,
+             discount_coef: Column | None = None) -> Column:
+        """Columns for ``intercept``/``discount_coef`` score several model
+        configurations in one pass (a config struct per exploded row)."""
+        return self.prob_from_base(self.base_logit(intercept), discount, discount_coef)
+
+    def sql_prob(self, discount: str, intercept: str | None = None,
+                 discount_coef: str | None = None) -> str:
+        b0 = f"{self.intercept!r}::DOUBLE" if intercept is None else intercept
+        bd = f"{self.discount_coef!r}::DOUBLE" if discount_coef is None else discount_coef
+        z = f"{b0}"
         for c, b in self.coefs.items():
             z += f" + {b!r}::DOUBLE * coalesce(CAST({c} AS DOUBLE), {self.fills.get(c, 0.0)!r}::DOUBLE)"
-        z += ")"
-        return f"(1.0::DOUBLE / (1.0::DOUBLE + exp(-{z})))"
+        return f"(1.0::DOUBLE / (1.0::DOUBLE + exp(-(({z}) + {bd} * ({discount})))))"
 
 
 # ---------------------------------------------------------------------------
@@ -80,6 +92,31 @@ def _interval(ds: Column, revs: Column, thr: Column) -> Column:
     return F.filter(ds, lambda d: F.element_at(revs, d + 1) > thr)
 
 
+def _ladder_arrays(df: DataFrame, scorer: LogisticScorer, n_steps: int, monotone: bool,
+                   intercept: Column | None = None, discount_coef: Column | None = None) -> DataFrame:
+    """Adds ``__p`` (probabilities), ``__r`` (expected revenue per step),
+    ``__mx`` (its maximum) and ``__opt`` (first arg-max).  The row part of
+    the logit is a plain column; the per-step lambda is a few nodes."""
+    ds = F.sequence(F.lit(0), F.lit(n_steps - 1))
+    out = df.withColumn("__z0", scorer.base_logit(intercept))
+    out = out.withColumn("__p", F.transform(
+        ds, lambda d: scorer.prob_from_base(F.col("__z0"), d.cast("double"), discount_coef)))
+    if monotone:
+        out = out.withColumn("__p", running_max(F.col("__p")))
+    out = out.withColumn("__r", F.transform(
+        F.col("__p"), lambda p, i: (F.lit(1.0) - i / F.lit(100.0)) * p))
+    out = out.withColumn("__mx", F.array_max("__r"))
+    return out.withColumn("__opt", F.array_position(F.col("__r"), F.col("__mx")) - 1)
+
+
+def _with_interval(df: DataFrame, gamma: float, name: str, n_steps: int) -> DataFrame:
+    """Steps whose revenue is strictly above ``(1 - gamma/100) * max``
+    (computed once, then min/max read from it)."""
+    ds = F.sequence(F.lit(0), F.lit(n_steps - 1))
+    thr = (F.lit(1.0) - F.lit(float(gamma)) / F.lit(100.0)) * F.col("__mx")
+    return df.withColumn(name, F.filter(ds, lambda d: F.element_at(F.col("__r"), d + 1) > thr))
+
+
 def recommend(df: DataFrame, scorer: LogisticScorer, gamma: float = 6, cc_adjustment: int = 0,
               discount_col: str = "discount_shp", n_steps: int = 100,
               monotone: bool = False) -> DataFrame:
@@ -87,23 +124,14 @@ def recommend(df: DataFrame, scorer: LogisticScorer, gamma: float = 6, cc_adjust
     optimum (first on ties), interval of steps with revenue strictly above
     ``(1 - gamma/100) * max`` (may have holes), adjusted optimum
     ``min(97, opt + cc)``."""
-    ds = F.sequence(F.lit(0), F.lit(n_steps - 1))
-    probs = F.transform(ds, lambda d: scorer.prob(d.cast("double")))
-    if monotone:
-        probs = running_max(probs)
-    revs = F.transform(ds, lambda d: (F.lit(1.0) - d / F.lit(100.0)) * F.element_at(probs, d + 1))
-    out = df.withColumns({"__p": probs, "__r": revs})
-    mx = F.array_max("__r")
-    out = out.withColumns({"__mx": mx})
-    opt = F.array_position(F.col("__r"), F.col("__mx")) - 1
-    close = _interval(ds, F.col("__r"), (F.lit(1.0) - F.lit(gamma) / F.lit(100.0)) * F.col("__mx"))
+    out = _with_interval(_ladder_arrays(df, scorer, n_steps, monotone), gamma, "__i", n_steps)
     out = out.withColumns({
-        "discount_low": F.array_min(close).cast("int"),
-        "discount_high": F.array_max(close).cast("int"),
-        "discount_opt_wo_adj": opt.cast("int"),
+        "discount_low": F.array_min("__i").cast("int"),
+        "discount_high": F.array_max("__i").cast("int"),
+        "discount_opt_wo_adj": F.col("__opt").cast("int"),
     })
     out = out.withColumn("discount_opt", F.least(F.lit(97), F.col("discount_opt_wo_adj") + F.lit(cc_adjustment)))
-    return out.drop("__p", "__r", "__mx")
+    return out.drop("__z0", "__p", "__r", "__mx", "__opt", "__i")
 
 
 def running_max(arr: Column) -> Column:
@@ -114,15 +142,15 @@ def running_max(arr: Column) -> Column:
 def recommendation_eval(df: DataFrame, scorer: LogisticScorer,
                         gammas: Sequence[int] = DEFAULT_GAMMAS,
                         discount_col: str = "discount_shp", target_col: str = "accepted",
-                        n_steps: int = 100, keep: Sequence[str] = ()) -> DataFrame:
+                        n_steps: int = 100, keep: Sequence[str] = (),
+                        intercept: Column | None = None,
+                        discount_coef: Column | None = None) -> DataFrame:
     """R7 (+P18, J9): per test row the optimum, its probability and expected
     revenue, low/mid/high for every gamma, published and realised revenue,
     and the difference to the real discount.  One row in, one row out."""
-    ds = F.sequence(F.lit(0), F.lit(n_steps - 1))
-    probs = F.transform(ds, lambda d: scorer.prob(d.cast("double")))
-    revs = F.transform(ds, lambda d: (F.lit(1.0) - d / F.lit(100.0)) * F.element_at(probs, d + 1))
-    out = df.withColumns({"__p": probs, "__r": revs}).withColumn("__mx", F.array_max("__r"))
-    out = out.withColumn("__opt", F.array_position(F.col("__r"), F.col("__mx")) - 1)
+    out = _ladder_arrays(df, scorer, n_steps, False, intercept, discount_coef)
+    for g in gammas:
+        out = _with_interval(out, g, f"__i{g}", n_steps)
     cols = {
         "real_discount": F.col(discount_col),
         "pub_rev": F.exp(F.col("log_published_revenue")),
@@ -132,12 +160,16 @@ def recommendation_eval(df: DataFrame, scorer: LogisticScorer,
         "rom_exp_rev": F.col("__mx"),
     }
     for g in gammas:
-        close = _interval(ds, F.col("__r"), (F.lit(1.0) - F.lit(g) / F.lit(100.0)) * F.col("__mx"))
-        lo, hi = F.array_min(close).cast("int"), F.array_max(close).cast("int")
+        lo, hi = F.array_min(f"__i{g}").cast("int"), F.array_max(f"__i{g}").cast("int")
         cols[f"rom_discount_{g}_low"] = lo
-        cols[f"rom_discount_{g}_mid"] = (lo + hi) / F.lit(2.0)
         cols[f"rom_discount_{g}_high"] = hi
     out = out.select(*keep, *[c.alias(k) for k, c in cols.items()])
+    out = out.withColumns({f"rom_discount_{g}_mid": (F.col(f"rom_discount_{g}_low") + F.col(f"rom_discount_{g}_high")) / F.lit(2.0)
+                           for g in gammas})
+    cols_order = list(keep) + ["real_discount", "pub_rev", "accepted", "rom_discount", "rom_pa", "rom_exp_rev"]
+    for g in gammas:
+        cols_order += [f"rom_discount_{g}_low", f"rom_discount_{g}_mid", f"rom_discount_{g}_high"]
+    out = out.select(*cols_order)
     out = out.withColumn("real_rev", (F.lit(1.0) - F.col("real_discount") / F.lit(100.0))
                          * F.col("pub_rev") * F.col("accepted"))
     return out.withColumn("rom_diff", F.col("rom_discount") - F.col("real_discount"))
@@ -170,8 +202,9 @@ def simulate_discount_effect(df: DataFrame, scorer: LogisticScorer, revenue_col:
     steps = ladder_steps(min_discount, max_discount, price_steps)
     ds = F.array(*[F.lit(s) for s in steps])
     feat = (lambda d: d.cast("double") / F.lit(100.0)) if unit == "fraction" else (lambda d: d.cast("double"))
-    probs = F.transform(ds, lambda d: scorer.prob(feat(d)))
-    out = df.withColumns({"sim_discount": ds, "sim_prob": probs})
+    out = df.withColumn("__z0", scorer.base_logit())
+    probs = F.transform(ds, lambda d: scorer.prob_from_base(F.col("__z0"), feat(d)))
+    out = out.withColumns({"sim_discount": ds, "sim_prob": probs}).drop("__z0")
     rev = F.col(revenue_col)
     return out.withColumn("sim_revenue", F.transform(
         F.arrays_zip(F.col("sim_discount"), F.col("sim_prob")),
