@@ -27,14 +27,17 @@ def _bucket_expr(x: str, cuts: list[float]):
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                  partition_cols: Sequence[str] = (), descending: bool = False,
-                 n_buckets: int = 256, prefix: str = "cum_") -> DataFrame:
+                 n_buckets: int = 256, prefix: str = "cum_",
+                 tie_cols: Sequence = ()) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in the order of
-    ``order_col`` (ties: all rows with equal key get the same running value
-    only if the key is unique; callers group by the key first).
+    ``order_col`` then ``tie_cols`` (equal keys always share a bucket, so a
+    unique ``(order_col, tie_cols)`` gives a deterministic order).
 
     ``partition_cols`` restart the sums per group (e.g. per model); the
     bucketing is shared across groups so a big group is still split."""
     key = F.col(order_col)
+    if dict(df.dtypes)[order_col] in ("timestamp", "timestamp_ntz", "date"):
+        key = F.unix_micros(key.cast("timestamp"))
     sign = -1.0 if descending else 1.0
     okey = "__okey"
     d = df.withColumn(okey, key.cast("double") * F.lit(sign))
@@ -49,7 +52,7 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                                              for c in sum_cols])
     # one row per (group, bucket): bounded by n_buckets x groups
     d = d.join(F.broadcast(offsets), [*pcols, "__b"], "left")
-    w = (Window.partitionBy(*pcols, "__b").orderBy(okey)
+    w = (Window.partitionBy(*pcols, "__b").orderBy(okey, *tie_cols)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumns({f"{prefix}{c}": F.col(f"__o_{c}") + F.sum(c).over(w) for c in sum_cols})
     return d.drop(okey, "__b", *[f"__o_{c}" for c in sum_cols])

@@ -341,7 +341,10 @@ def revenue_bins(df: DataFrame, quantile: float = 0.95, accuracy: int | None = N
     q = (F.percentile(x, F.lit(quantile)) if accuracy is None
          else F.percentile_approx(x, F.lit(quantile), F.lit(accuracy)))
     qs = pairs.groupBy("organization_id").agg(q.cast("double").alias("__q"))
-    df = df.join(checked_broadcast(qs, max_broadcast_rows), "organization_id", "left")
+    # One row per organization, known only at run time: AQE turns this into a
+    # broadcast join from the measured size of the aggregate (sort-merge
+    # otherwise), so no blocking count job is needed here.
+    df = df.join(qs, "organization_id", "left")
     step = F.col("__q") / F.lit(5.0)
     n_edges_below = sum((F.lit(i) * step <= x).cast("int") for i in range(1, 5))
     label = F.element_at(F.array(*[F.lit(v) for v in REVENUE_BIN_LABELS]), n_edges_below + 1)

@@ -118,12 +118,12 @@ def fill_absent_numeric(df: DataFrame, columns: Sequence[str], value: float = 0.
 # --- F5 / F6 / F17 -------------------------------------------------------------
 
 def sample_rows(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = 0,
-                portable: bool = False) -> DataFrame:
+                portable: bool = False, tie_break: Sequence[str] = ()) -> DataFrame:
     """n rows chosen by hash order of the key.  Stable under
     repartitioning (unlike ``sample``); a top-n, so Spark plans
     ``TakeOrderedAndProject`` (per-partition top-n, then merge)."""
     u = md5_unit(F.lit(seed), *key_cols) if portable else hash_unit(*key_cols, seed=seed)
-    return df.withColumn("__u", u).orderBy("__u", *key_cols).limit(n).drop("__u")
+    return df.withColumn("__u", u).orderBy("__u", *key_cols, *tie_break).limit(n).drop("__u")
 
 
 def sample_per_group(df: DataFrame, group_col: str, n: int, key_cols: Sequence[str],
