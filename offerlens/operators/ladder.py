@@ -249,7 +249,8 @@ def model_ladder(df: DataFrame, predict: Callable[[DataFrame], DataFrame], row_i
                  prob_col: str = "prob") -> DataFrame:
     """J10 + R3 with any fitted model: one scoring pass over the exploded
     ladder.  ``predict`` must add ``prob_col``.  Returns the long form."""
-    lad = df.withColumn(discount_col, F.explode(F.sequence(F.lit(0), F.lit(n_steps - 1))).cast("double"))
+    lad = df.withColumn(discount_col, F.explode(F.sequence(F.lit(0), F.lit(n_steps - 1))))
+    lad = lad.withColumn(discount_col, F.col(discount_col).cast("double"))
     scored = predict(lad)
     return scored.select(row_id, F.col(discount_col).cast("int").alias("discount"), F.col(prob_col).alias("prob"))
 

@@ -1 +1,156 @@
-"""Registered queries."""
+"""Registered queries: model fitting, inference, search and explanations
+(rows-only checks: the test labels are random, so there is no accuracy
+target; invariants are checked in tests/)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from offerlens.functions.exprs import xxhash_id
+from offerlens.operators import augment as aug
+from offerlens.operators import folds as FO
+from offerlens.operators import ladder as L
+from offerlens.operators import metrics as E
+from offerlens.operators import model as MD
+from offerlens.plans import master as M
+from offerlens.plans.master import rounded
+from offerlens.plans.registry import register
+from offerlens.session import ensure_checkpoint_dir
+
+NUMERIC = [c for c in M.NUMERIC if c not in ("discount_shp", "ecomm")]
+LR_CFG = MD.ModelConfig(name="lr_monotone", estimator="logistic", categorical=list(M.CATEGORICAL),
+                        numeric=NUMERIC, binary=["ecomm"], weight_col="weight",
+                        params={"max_iter": 50, "reg_param": 0.001})
+GBT_CFG = MD.ModelConfig(name="gbt", estimator="gbt", categorical=list(M.CATEGORICAL), numeric=NUMERIC,
+                         binary=["ecomm"], one_hot=False, scale=False,
+                         params={"max_depth": 3, "n_estimators": 10, "learning_rate": 0.1})
+ORDER = ["created_date_off", "offer_id", "product_cluster_shp", "discount_shp", "published_revenue_shp"]
+
+
+def train_test(spark, sf_dir):
+    return M.split(M.modelling_table(spark, sf_dir))
+
+
+def augmented_train(spark, sf_dir):
+    train, _ = train_test(spark, sf_dir)
+    return aug.augment(train, aug.AugmentConfig("basic", (10, 20)), key_cols=["offer_id", "product_cluster_shp"])
+
+
+def fitted_lr(spark, sf_dir):
+    return MD.fit(augmented_train(spark, sf_dir), LR_CFG)
+
+
+@register("model_logistic_coefficients")
+def q_model_logistic_coefficients(spark, sf_dir):
+    """Impute, scale, one-hot, assemble (discount first) and a
+    logistic model with a non-negative discount coefficient, fitted on the
+    augmented train window with sample weights."""
+    m = fitted_lr(spark, sf_dir)
+    c = MD.coefficients(m)
+    return c.select("slot", "feature", rounded(F.col("coefficient")).alias("coefficient"))
+
+
+@register("model_gbt_importance")
+def q_model_gbt_importance(spark, sf_dir):
+    """M7b + M9: boosted trees and gain-based feature importances."""
+    train, _ = train_test(spark, sf_dir)
+    m = MD.fit(train, GBT_CFG)
+    return MD.feature_importance(m).select("feature", rounded(F.col("importance")).alias("importance"))
+
+
+@register("model_predictions")
+def q_model_predictions(spark, sf_dir):
+    """Class and probability of class 1 for the test window."""
+    m = fitted_lr(spark, sf_dir)
+    _, test = train_test(spark, sf_dir)
+    p = MD.predict(m, test)
+    return p.select("offer_id", "product_cluster_shp", "discount_shp", "accepted", "y_pred",
+                    rounded(F.col("y_pred_proba")).alias("y_pred_proba"))
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    """E1-E3 on the fitted model's test predictions."""
+    m = fitted_lr(spark, sf_dir)
+    _, test = train_test(spark, sf_dir)
+    p = MD.predict(m, test).persist()
+    cm = E.classification_metrics(p, "accepted", "y_pred_proba", "y_pred")
+    sc = E.score_curve_metrics(E.score_curves(p, "accepted", ["y_pred_proba"]))
+    a = sc.first()
+    return cm.withColumns({"auc": F.lit(a["auc"]), "average_precision": F.lit(a["average_precision"]),
+                           "ks_max_gap": F.lit(a["ks_max_gap"])})
+
+
+@register("model_recommend")
+def q_model_recommend(spark, sf_dir):
+    """J10 + R3 + R6 + W9 with a fitted tree model: explode the 0..99
+    ladder, score it in one pass, group per row id (partial aggregation
+    in the producing task), running maximum for monotonicity."""
+    train, test = train_test(spark, sf_dir)
+    m = MD.fit(train, GBT_CFG)
+    t = test.withColumn("row_id", xxhash_id(*test.columns))
+    long = L.model_ladder(t, lambda d: MD.predict(m, d), "row_id", prob_col="y_pred_proba")
+    rec = L.recommend_from_long(long, "row_id", gamma=6, cc_adjustment=0, monotone=True)
+    keys = t.select("row_id", "offer_id", "product_cluster_shp", "discount_shp").dropDuplicates(["row_id"])
+    return keys.join(rec, "row_id").select("offer_id", "product_cluster_shp", "discount_shp", "discount_low",
+                                           "discount_high", "discount_opt",
+                                           rounded(F.col("rom_exp_rev")).alias("rom_exp_rev"))
+
+
+@register("hyperparameter_search")
+def q_hyperparameter_search(spark, sf_dir):
+    """M8 + F14: seeded random search (known-good first trial) over three
+    expanding-window folds; one (trial, fold, log-loss) row per fit."""
+    train, _ = train_test(spark, sf_dir)
+    folds = FO.time_series_folds(train, 3, ORDER)
+    trials = MD.sample_params(2, seed=42, first_trials=[{"max_depth": 3, "n_estimators": 5, "learning_rate": 0.1}])
+    trials = [{**t, "n_estimators": min(int(t.get("n_estimators", 10)), 10),
+               "max_depth": min(int(t.get("max_depth", 3)), 4)} for t in trials]
+    res = MD.search(folds, GBT_CFG, trials)
+    return res.select("trial", "fold", "params", rounded(F.col("logloss")).alias("logloss"))
+
+
+@register("learning_curve")
+def q_learning_curve(spark, sf_dir):
+    """M10 + F13: loss per boosting iteration on the ordered 70/30 split."""
+    train, _ = train_test(spark, sf_dir)
+    h = FO.ordered_holdout(train, 0.3, ORDER)
+    lc = MD.learning_curve(train, GBT_CFG, h)
+    return lc.select("dataset", "iteration", rounded(F.col("loss")).alias("loss"))
+
+
+@register("model_persistence")
+def q_model_persistence(spark, sf_dir):
+    """S9 + E22: save the fitted pipeline and its config to the shared
+    checkpoint folder, load it back, and compare test predictions."""
+    m = fitted_lr(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark)}/models/{uuid.uuid4().hex}"
+    m.save(path)
+    m2 = MD.FittedModel.load(path)
+    _, test = train_test(spark, sf_dir)
+    a = MD.predict(m, test).select("offer_id", "discount_shp", rounded(F.col("y_pred_proba")).alias("p"))
+    b = MD.predict(m2, test).select("offer_id", "discount_shp", rounded(F.col("y_pred_proba")).alias("p"))
+    return E.same_rows(a, b)
+
+
+@register("linear_attribution")
+def q_linear_attribution(spark, sf_dir):
+    """Exact additive attributions of the logistic model, mean |phi|
+    and quantiles per feature."""
+    m = fitted_lr(spark, sf_dir)
+    _, test = train_test(spark, sf_dir)
+    a = MD.linear_attribution(m, test)
+    return a.select("feature", rounded(F.col("mean_abs_attribution")).alias("mean_abs_attribution"))
+
+
+@register("partial_dependence")
+def q_partial_dependence(spark, sf_dir):
+    """Partial dependence of the acceptance probability on the discount
+    and the log revenue (20-point grids between the 5 % and 95 % quantiles)."""
+    m = fitted_lr(spark, sf_dir)
+    _, test = train_test(spark, sf_dir)
+    pd_ = MD.partial_dependence(m, test, ["discount_shp", "log_published_revenue"], n_grid=20)
+    return pd_.select("feature", rounded(F.col("value")).alias("value"),
+                      rounded(F.col("mean_prediction")).alias("mean_prediction"))

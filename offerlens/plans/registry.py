@@ -29,5 +29,5 @@ def register(name: str, oracle: str | None = None, headline: bool = False):
 
 def load_all() -> None:
     # Importing the query modules fills the registry.
-    from offerlens.plans import (q_eda, q_evaluate, q_features, q_ladder,  # noqa: F401
-                                 q_metrics, q_model, q_prep)
+    from offerlens.plans import (q_eda, q_evaluate, q_features, q_io,  # noqa: F401
+                                 q_ladder, q_metrics, q_model, q_prep)

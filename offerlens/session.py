@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
+# Local runs only: the driver JVM is the executor, so it needs real memory.
+LOCAL_CONF = {"spark.driver.memory": "12g"}
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -35,6 +37,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.master(master)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
+    if master and master.startswith("local"):
+        for k, v in LOCAL_CONF.items():
+            b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
