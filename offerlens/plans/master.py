@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from offerlens.operators import features as feat
 from offerlens.operators import prep
+from offerlens.session import materialize
 from offerlens.sources import fixtures as fx
 
 FEATURE_PARAMS = feat.FeatureParams(lead_map=fx.LEAD_MAP, initiator_map=fx.INITIATOR_MAP,
@@ -51,9 +52,28 @@ def feature_table(spark: SparkSession, sf_dir: str, outcome_source: str = "order
                                outcome, orgs, params or FEATURE_PARAMS)
 
 
+def input_fingerprint(sf_dir: str) -> tuple:
+    """Names, sizes and modification times of the input files (a changed
+    input never reuses an old materialized table)."""
+    import os
+    out = []
+    for name in sorted(os.listdir(sf_dir)) if os.path.isdir(sf_dir) else []:
+        st = os.stat(os.path.join(sf_dir, name))
+        out.append((name, st.st_size, int(st.st_mtime)))
+    return tuple(out)
+
+
+def stored_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table written once per application to the shared
+    checkpoint folder (the reference's per-country master file), read back
+    by all downstream stages."""
+    return materialize(spark, ("features", sf_dir, input_fingerprint(sf_dir)),
+                       lambda: feature_table(spark, sf_dir))
+
+
 def master_table(spark: SparkSession, sf_dir: str, with_ids: bool = False) -> DataFrame:
     """Feature table standardized to the master column list (P1) and typed."""
-    ft = feature_table(spark, sf_dir)
+    ft = stored_feature_table(spark, sf_dir)
     keep = MASTER_COLUMNS + (["offer_id", "gsfa_customer_id"] if with_ids else [])
     df = prep.standardize_dataset(ft, {}, keep)
     return prep.convert_dtype_columns(df, NUMERIC, CATEGORICAL, ["created_date_off"])

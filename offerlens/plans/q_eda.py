@@ -247,7 +247,7 @@ _CONC_SQL = f"""
            {rsql('share_cust')} AS share_cust FROM cur""")
 def q_revenue_concentration(spark, sf_dir):
     """A13 + W7: Lorenz curve of mean expected offer revenue per customer."""
-    curve, _ = D.revenue_concentration(M.feature_table(spark, sf_dir), "gsfa_customer_id", "offer_expected_revenue")
+    curve, _ = D.revenue_concentration(M.stored_feature_table(spark, sf_dir), "gsfa_customer_id", "offer_expected_revenue")
     c = curve.select("gsfa_customer_id", rounded(F.col("cum_rev_perc")).alias("cum_rev_perc"),
                      rounded(F.col("share_cust")).alias("share_cust"))
     return c
@@ -258,7 +258,7 @@ def q_revenue_concentration(spark, sf_dir):
     FROM cur WHERE cum_rev_perc > 0.8 ORDER BY share_cust LIMIT 1""")
 def q_revenue_concentration_point(spark, sf_dir):
     """First point of the curve above 80 % of revenue (a top-1 report)."""
-    _, first = D.revenue_concentration(M.feature_table(spark, sf_dir), "gsfa_customer_id", "offer_expected_revenue")
+    _, first = D.revenue_concentration(M.stored_feature_table(spark, sf_dir), "gsfa_customer_id", "offer_expected_revenue")
     return first.select(rounded(F.col("share_cust")).alias("share_cust"),
                         rounded(F.col("cum_rev_perc")).alias("cum_rev_perc"))
 

@@ -103,7 +103,7 @@ def q_organizations(spark, sf_dir):
     SELECT organization_id, count(*) AS n_offers FROM features GROUP BY organization_id""")
 def q_row_counts(spark, sf_dir):
     """A1 / S5 counts: rows per organization (sorted descending)."""
-    ft = M.feature_table(spark, sf_dir)
+    ft = M.stored_feature_table(spark, sf_dir)
     return ft.groupBy("organization_id").agg(F.count("*").alias("n_offers")).orderBy(F.desc("n_offers"))
 
 

@@ -158,7 +158,7 @@ for _name, _cfg in AUG_CONFIGS.items():
                  round(discount_shp, 6) AS discount_shp, organization_id FROM features) f""")
 def q_standardize_rename(spark, sf_dir):
     """P1 with a rename map (an absent name is ignored) and a keep list."""
-    ft = M.feature_table(spark, sf_dir).select(
+    ft = M.stored_feature_table(spark, sf_dir).select(
         rounded(F.col("published_revenue_shp")).alias("published_revenue_shp"),
         rounded(F.col("discount_shp")).alias("discount_shp"), "organization_id")
     return prep.standardize_dataset(ft, {"published_revenue_shp": "pub", "discount_shp": "disc",

@@ -79,3 +79,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+_MATERIALIZED: dict[tuple, str] = {}
+
+
+def materialize(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Stage boundary: write ``build()`` once per application as Parquet in
+    the shared checkpoint folder and read it back for every later use.
+
+    Later stages start from files on shared storage (lineage cut, so a lost
+    executor never recomputes the upstream joins) instead of re-running the
+    whole upstream plan in every query."""
+    import uuid
+    k = (spark.sparkContext.applicationId, *key)
+    path = _MATERIALIZED.get(k)
+    if path is None:
+        path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+        build().write.mode("overwrite").parquet(path)
+        _MATERIALIZED[k] = path
+    return spark.read.parquet(path)
