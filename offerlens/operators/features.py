@@ -55,6 +55,7 @@ MIX_SHARE_COLUMNS = {
 ECOMM_CHANNELS = ["e-commerce", "b2c e-commerce", "b2b e-commerce"]
 REVENUE_BIN_LABELS = ["low", "mid-low", "medium", "mid-high", "high"]
 STATUS_SENT = "Offer with Customer"
+OUTCOME_INVALIDATED = "Invalidated Internally"   # offer withdrawn by the seller
 OFFER_DROP_COLUMNS = ["customer_id", "offer_row_id", "aag_id", "cpa_id", "composite_id",
                       "bpm_integration_id"]
 
@@ -113,7 +114,7 @@ def outcome_rule(new_value: Column, old_value: Column) -> Column:
     most specific rule comes first."""
     rejected_before = old_value.isin("Customer Rejected", "Customer Accepted", STATUS_SENT)
     return (F.when((new_value == "Invalidated") & F.coalesce(rejected_before, F.lit(False)), "Rejected")
-             .when(new_value == "Invalidated", "Invalidated DHL")
+             .when(new_value == "Invalidated", OUTCOME_INVALIDATED)
              .when(new_value == "Customer Rejected", "Rejected")
              .when(new_value == "Agreement Created", "Accepted")
              .otherwise("In Progress"))
@@ -198,7 +199,7 @@ def join_entities(lines: DataFrame, offers: DataFrame, oppo: DataFrame, customer
 
 def enrich_lines(df: DataFrame) -> DataFrame:
     """F7, P11, P10, F8."""
-    df = df.filter(F.col("sent_out").isNotNull() & ~F.col("outcome").eqNullSafe("Invalidated DHL"))
+    df = df.filter(F.col("sent_out").isNotNull() & ~F.col("outcome").eqNullSafe(OUTCOME_INVALIDATED))
     df = df.withColumns({
         "product_mix": lookup("product_cluster_shp", PRODUCT_MIX, PRODUCT_MIX_OTHER),
         "product_domain": lookup("product_cluster_shp", PRODUCT_DOMAIN, PRODUCT_DOMAIN_OTHER),
@@ -304,52 +305,45 @@ def final_filters(df: DataFrame) -> DataFrame:
 
 
 def opportunity_order(df: DataFrame) -> DataFrame:
-    """W1 + A7 + W2 on the (opportunity, offer) aggregate (one row per offer,
-    not per line).  Ties on the creation date break on ``offer_id``."""
+    """W1 + A7 on the (opportunity, offer) aggregate (one row per offer, not
+    per line).  Ties on the creation date break on ``offer_id``.  Returns
+    ``(opportunity_id, offer_id, order_in_oppo, offers_in_oppo)``."""
     keyed = df.filter(F.col("opportunity_id").isNotNull() & F.col("offer_id").isNotNull())
-    per_offer = keyed.groupBy("opportunity_id", "offer_id").agg(
-        F.first("created_date_off", ignorenulls=True).alias("__created"))
+    per_offer = keyed.groupBy("opportunity_id", "offer_id").agg(F.min("created_date_off").alias("__created"))
     w = Window.partitionBy("opportunity_id").orderBy(F.col("__created").asc_nulls_last(), "offer_id")
-    per_offer = per_offer.withColumns({
-        "order_in_oppo": F.row_number().over(w),
-        "offers_in_oppo": F.count("*").over(Window.partitionBy("opportunity_id")),
-    }).drop("__created")
-    df = df.join(per_offer, ["opportunity_id", "offer_id"], "left")
-    return df.withColumn("finality", F.when(F.col("offers_in_oppo") == F.col("order_in_oppo"), "final")
-                         .otherwise("interim"))
+    return per_offer.select("opportunity_id", "offer_id", F.row_number().over(w).alias("order_in_oppo"),
+                            F.count("*").over(Window.partitionBy("opportunity_id")).alias("offers_in_oppo"))
 
 
 def final_status(df: DataFrame) -> DataFrame:
     """Last outcome and discount per (opportunity, product cluster) by
-    creation date (NULL dates last), as a mergeable aggregate + join."""
+    creation date (NULL dates last), as a mergeable aggregate.  Returns one
+    row per (opportunity_id, product_cluster_shp)."""
     created = F.col("created_date_off")
     order = [created.isNull(), F.coalesce(created, F.lit("1900-01-01").cast("timestamp_ntz")),
              F.col("offer_id"), F.coalesce(F.col("discount_shp"), F.lit(-1.0))]
     keyed = df.filter(F.col("opportunity_id").isNotNull() & F.col("product_cluster_shp").isNotNull())
-    g = keyed.groupBy("opportunity_id", "product_cluster_shp").agg(
+    return keyed.groupBy("opportunity_id", "product_cluster_shp").agg(
         last_non_null("outcome", *order).alias("final_outcome"),
         last_non_null("discount_shp", *order).alias("final_discount_shp"))
-    return df.join(g, ["opportunity_id", "product_cluster_shp"], "left")
 
 
-def revenue_bins(df: DataFrame, quantile: float = 0.95, accuracy: int | None = None,
-                 max_broadcast_rows: int = 200_000) -> DataFrame:
-    """Five equal-width bins on [0, q) per organization, q = quantile of
-    the distinct (offer, offer revenue) pairs; left-closed; >= q -> NULL."""
+def revenue_quantiles(df: DataFrame, quantile: float = 0.95, accuracy: int | None = None) -> DataFrame:
+    """W4 edges: quantile of the distinct (offer, offer revenue) pairs per
+    organization (one row per organization)."""
     pairs = df.select("organization_id", "offer_id", "offer_published_revenue").dropDuplicates()
     x = F.col("offer_published_revenue")
     q = (F.percentile(x, F.lit(quantile)) if accuracy is None
          else F.percentile_approx(x, F.lit(quantile), F.lit(accuracy)))
-    qs = pairs.groupBy("organization_id").agg(q.cast("double").alias("__q"))
-    # One row per organization, known only at run time: AQE turns this into a
-    # broadcast join from the measured size of the aggregate (sort-merge
-    # otherwise), so no blocking count job is needed here.
-    df = df.join(qs, "organization_id", "left")
-    step = F.col("__q") / F.lit(5.0)
+    return pairs.groupBy("organization_id").agg(q.cast("double").alias("__q"))
+
+
+def revenue_bin(x: Column, q: Column) -> Column:
+    """Five equal-width bins on [0, q), left-closed; >= q -> NULL."""
+    step = q / F.lit(5.0)
     n_edges_below = sum((F.lit(i) * step <= x).cast("int") for i in range(1, 5))
     label = F.element_at(F.array(*[F.lit(v) for v in REVENUE_BIN_LABELS]), n_edges_below + 1)
-    inside = (x >= 0) & (x < F.col("__q"))
-    return df.withColumn("revenue_bin", F.when(inside, label)).drop("__q")
+    return F.when((x >= 0) & (x < q), label)
 
 
 def recommended_discount(df: DataFrame) -> DataFrame:
@@ -362,17 +356,27 @@ def recommended_discount(df: DataFrame) -> DataFrame:
 def build_features(lines: DataFrame, offers: DataFrame, oppo: DataFrame, customer: DataFrame,
                    outcome: DataFrame, orgs: DataFrame | None = None,
                    params: FeatureParams | None = None) -> DataFrame:
-    """The whole archived preprocessing chain, once for all organizations."""
+    """The whole archived preprocessing chain, once for all organizations.
+
+    Two stage boundaries (Parquet in the shared checkpoint folder) sit where
+    the plan branches: after the entity joins, and after the offer-level
+    filters.  Every group-level table (offer sums, order in opportunity,
+    final status, revenue quantiles) is an aggregate of a stage, joined back
+    in one linear chain -- no branch re-runs the upstream joins."""
+    from offerlens.session import stage
     p = params or FeatureParams()
-    df = join_entities(lines, offers, oppo, customer, outcome)
-    df = enrich_lines(df)
+    df = enrich_lines(join_entities(lines, offers, oppo, customer, outcome))
     if orgs is not None:
         df = currency_adjust(df, orgs, p.convert_tdi_recommended, p.max_broadcast_rows)
-    df = offer_level(df)
-    df = log_features(df)
-    df = map_categoricals(df, p)
-    df = final_filters(df)
-    df = opportunity_order(df)
-    df = final_status(df)
-    df = revenue_bins(df, p.revenue_quantile, p.percentile_accuracy, p.max_broadcast_rows)
-    return recommended_discount(df)
+    base = stage(df, "lines")
+    df = offer_level(base)
+    df = final_filters(map_categoricals(log_features(df), p))
+    st = stage(df, "filtered_lines")
+    out = (st.join(opportunity_order(st), ["opportunity_id", "offer_id"], "left")
+             .join(final_status(st), ["opportunity_id", "product_cluster_shp"], "left")
+             .join(revenue_quantiles(st, p.revenue_quantile, p.percentile_accuracy), "organization_id", "left"))
+    out = out.withColumns({
+        "finality": F.when(F.col("offers_in_oppo") == F.col("order_in_oppo"), "final").otherwise("interim"),
+        "revenue_bin": revenue_bin(F.col("offer_published_revenue"), F.col("__q")),
+    }).drop("__q")
+    return recommended_discount(out)

@@ -38,7 +38,7 @@ def _ln(x: str) -> str:
 AUDIT_OUTCOME_SQL = """
     SELECT offer_id, new_value, old_value, updated_date, sent_out,
       CASE WHEN new_value = 'Invalidated' AND coalesce(old_value IN ('Customer Rejected', 'Customer Accepted', 'Offer with Customer'), false) THEN 'Rejected'
-           WHEN new_value = 'Invalidated' THEN 'Invalidated DHL'
+           WHEN new_value = 'Invalidated' THEN 'Invalidated Internally'
            WHEN new_value = 'Customer Rejected' THEN 'Rejected'
            WHEN new_value = 'Agreement Created' THEN 'Accepted'
            ELSE 'In Progress' END AS outcome
@@ -120,7 +120,7 @@ def feature_ctes(outcome_source: str = "orders") -> list[tuple[str, str]]:
                      {_case('product_cluster_shp', PRODUCT_DOMAIN, PRODUCT_DOMAIN_OTHER)} AS product_domain,
                      CAST(coalesce(discount_shp >= 0 AND discount_shp <= 100, false) AS INTEGER) AS valid_discount
               FROM j_all
-              WHERE sent_out IS NOT NULL AND outcome IS DISTINCT FROM 'Invalidated DHL') x
+              WHERE sent_out IS NOT NULL AND outcome IS DISTINCT FROM 'Invalidated Internally') x
             WHERE valid_discount = 1"""),
         ("o_rates", "SELECT from_currency, arg_max(rate_eur_ber, bill_per_dt) AS rate_eur FROM f_rates GROUP BY from_currency"),
         ("o_orgs", """

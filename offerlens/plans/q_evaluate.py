@@ -249,3 +249,15 @@ def q_auc_per_config(spark, sf_dir):
     """E1 AUC per configuration (input of the E20 AUC alert)."""
     a = V.auc_per_config(scored_table(spark, sf_dir))
     return a.select("config", rounded(F.col("auc")).alias("auc"))
+
+
+@register("eval_warnings")
+def q_eval_warnings(spark, sf_dir):
+    """Warning table (config, warning, score, contribution) from the
+    RCR, coverage, AUC, discount and difference checks."""
+    ev = ev_table(spark, sf_dir).persist()
+    rcr = V.rcr_by_gamma(ev, GAMMAS)
+    out = V.warnings_table(rcr, V.auc_per_config(scored_table(spark, sf_dir)), V.discount_checks(ev),
+                           V.diff_checks(ev), GAMMAS[1], len(CONFIGS))
+    return out.select("config", "warning", rounded(F.col("score")).alias("score"),
+                      rounded(F.col("contribution")).alias("contribution"))

@@ -10,7 +10,7 @@ from offerlens.operators import prep
 from offerlens.plans import master as M
 from offerlens.plans.master import rounded
 from offerlens.plans.oracle_chain import md5_unit_sql, rsql, with_modelling
-from offerlens.plans.registry import register
+from offerlens.plans.registry import ORACLES, register
 
 SCORER = L.LogisticScorer()
 GAMMAS = L.DEFAULT_GAMMAS
@@ -212,3 +212,24 @@ def q_ladder_samples(spark, sf_dir):
     return lad.select("organization_id", "offer_id", "product_cluster_shp", "discount",
                       rounded(F.col("prob")).alias("prob"), rounded(F.col("exp_rev")).alias("exp_rev"),
                       F.col("rom_discount_6_low").alias("low"), F.col("rom_discount_6_high").alias("high"))
+
+
+@register("stream_recommend", ORACLES["recommend"])
+def q_stream_recommend(spark, sf_dir):
+    """Streaming form of R5/R6: test lines arrive as files, every micro-batch
+    is scored by the same recommendation operator, results go to an
+    exactly-once file sink; the sink is read back."""
+    from offerlens.sources import io
+    from offerlens.streaming.scoring import start_file_scoring
+    base = io.scratch_path(spark, "stream_recommend")
+    t = test_rows(spark, sf_dir)
+    t.write.mode("overwrite").parquet(f"{base}/source")
+    schema = spark.read.parquet(f"{base}/source").schema
+
+    def transform(df):
+        r = L.recommend(df, SCORER, gamma=REC_GAMMA, cc_adjustment=REC_CC)
+        return r.select("offer_id", "product_cluster_shp", "discount_shp", "discount_low",
+                        "discount_high", "discount_opt", "discount_opt_wo_adj")
+    q = start_file_scoring(spark, f"{base}/source", schema, f"{base}/sink", f"{base}/checkpoint", transform)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/sink")

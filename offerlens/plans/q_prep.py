@@ -10,6 +10,7 @@ from offerlens.plans import master as M
 from offerlens.plans.master import rounded
 from offerlens.plans.oracle_chain import md5_unit_sql, rsql, with_features, with_modelling
 from offerlens.plans.registry import register
+from offerlens.sources import fixtures as fx
 
 
 @register("fix_target", with_modelling() + """
@@ -163,3 +164,77 @@ def q_standardize_rename(spark, sf_dir):
         rounded(F.col("discount_shp")).alias("discount_shp"), "organization_id")
     return prep.standardize_dataset(ft, {"published_revenue_shp": "pub", "discount_shp": "disc",
                                          "not_there": "x"}, ["pub", "disc", "organization_id"])
+
+
+# ---------------------------------------------------------------------------
+# Small operators: P16, P17, P20, F15, F16, F17
+# ---------------------------------------------------------------------------
+
+def _initcap_sql(x: str) -> str:
+    return (f"list_aggregate(list_transform(string_split(lower({x}), ' '), "
+            f"lambda w: upper(w[1]) || w[2:]), 'string_agg', ' ')")
+
+
+@register("clean_names", fx.fixture_ctes() + f"""
+    SELECT organization_id, upper(replace(trim(name), ' ', '_')) AS name,
+           {_initcap_sql("replace(upper(replace(trim(name), ' ', '_')), '_', ' ')")} AS name_title
+    FROM f_countries""")
+def q_clean_names(spark, sf_dir):
+    """Trim, underscores, upper case, capitalised words."""
+    c = fx.countries(spark, sf_dir)
+    return prep.clean_names(c, "name").select("organization_id", "name", "name_title")
+
+
+@register("fill_absent_numeric", with_features("orders") + """
+    SELECT organization_id, count(*) AS n, sum(prod_mix_x) AS prod_mix_x_sum
+    FROM (SELECT organization_id, 0.0::DOUBLE AS prod_mix_x FROM features) t GROUP BY 1""")
+def q_fill_absent_numeric(spark, sf_dir):
+    """A numeric feature absent from the table is added as 0."""
+    ft = M.stored_feature_table(spark, sf_dir)
+    f = prep.fill_absent_numeric(ft, ["prod_mix_x", "prod_mix_tdexport"])
+    return f.groupBy("organization_id").agg(F.count("*").alias("n"), F.sum("prod_mix_x").alias("prod_mix_x_sum"))
+
+
+@register("channel_remap_share", with_features("orders") + f"""
+    SELECT organization_id, count(*) AS n_rows, CAST(sum(CAST(o <> r AS INTEGER)) AS BIGINT) AS n_changed,
+           {rsql('avg(CAST(o <> r AS DOUBLE))')} AS share_changed
+    FROM (SELECT organization_id, coalesce(physical_channel_cust, '~') AS o,
+                 coalesce(CASE WHEN physical_channel_cust IN ('B2C E-Commerce', 'B2B E-Commerce')
+                               THEN physical_channel_cust END, '~') AS r FROM features) t
+    GROUP BY 1""")
+def q_channel_remap_share(spark, sf_dir):
+    """P20: channel re-mapping check -- share of rows whose value changes."""
+    ft = M.stored_feature_table(spark, sf_dir)
+    r = prep.channel_remap_share(ft, "physical_channel_cust", ["B2C E-Commerce", "B2B E-Commerce"])
+    return r.select("organization_id", "n_rows", "n_changed", rounded(F.col("share_changed")).alias("share_changed"))
+
+
+@register("differs_filter", with_features("orders") + """
+    SELECT organization_id, count(*) AS n FROM features
+    WHERE log_potential_revenue IS NOT NULL OR log_potential_revenue_tpr IS NOT NULL GROUP BY 1""")
+def q_differs_filter(spark, sf_dir):
+    """rows where either of two columns is non-NULL."""
+    ft = M.stored_feature_table(spark, sf_dir)
+    return prep.differs(ft, "log_potential_revenue", "log_potential_revenue_tpr") \
+        .groupBy("organization_id").agg(F.count("*").alias("n"))
+
+
+@register("distinct_pairs", with_features("orders") + """
+    SELECT count(*) AS n_pairs FROM (SELECT DISTINCT gsfa_customer_id, product_cluster_shp FROM features) t""")
+def q_distinct_pairs(spark, sf_dir):
+    """F16: number of distinct (customer, product) pairs."""
+    return prep.distinct_pairs(M.stored_feature_table(spark, sf_dir), "gsfa_customer_id", "product_cluster_shp")
+
+
+@register("top_per_domain", with_features("orders") + f"""
+    SELECT product_domain, offer_id, product_cluster_shp, {rsql('published_revenue_shp')} AS published_revenue_shp
+    FROM (SELECT *, row_number() OVER (PARTITION BY product_domain ORDER BY published_revenue_shp DESC,
+                                       offer_id, product_cluster_shp, discount_shp) AS rn FROM features) t
+    WHERE rn <= 4""")
+def q_top_per_domain(spark, sf_dir):
+    """top 4 lines per product domain (a top-n report)."""
+    ft = M.stored_feature_table(spark, sf_dir)
+    t = prep.top_n_per_group(ft, "product_domain", 4,
+                             [F.col("published_revenue_shp").desc(), "offer_id", "product_cluster_shp", "discount_shp"])
+    return t.select("product_domain", "offer_id", "product_cluster_shp",
+                    rounded(F.col("published_revenue_shp")).alias("published_revenue_shp"))

@@ -99,3 +99,17 @@ def materialize(spark: SparkSession, key: tuple, build) -> DataFrame:
         build().write.mode("overwrite").parquet(path)
         _MATERIALIZED[k] = path
     return spark.read.parquet(path)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result as Parquet into the shared checkpoint
+    folder and continue from the files.
+
+    Used where a plan branches (a table joined back to an aggregate of
+    itself): without the cut every branch re-runs the whole upstream join
+    chain.  Parquet keeps column pruning and filter push-down for the
+    readers of the stage."""
+    import uuid
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stages/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
