@@ -135,8 +135,12 @@ def recommend(df: DataFrame, scorer: LogisticScorer, gamma: float = 6, cc_adjust
 
 
 def running_max(arr: Column) -> Column:
-    """Running maximum along an array (monotone ladder)."""
-    return F.transform(arr, lambda x, i: F.array_max(F.slice(arr, 1, i + 1)))
+    """Running maximum along an array (monotone ladder), one left fold:
+    the input array is evaluated once, each step appends
+    ``greatest(x, last)``."""
+    empty = F.array().cast("array<double>")
+    return F.aggregate(arr, empty, lambda acc, x: F.concat(
+        acc, F.array(F.greatest(x.cast("double"), F.coalesce(F.try_element_at(acc, F.lit(-1)), x.cast("double"))))))
 
 
 def recommendation_eval(df: DataFrame, scorer: LogisticScorer,
