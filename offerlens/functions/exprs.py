@@ -35,9 +35,10 @@ def discount_pct(expected, published, digits: int = 6) -> Column:
 
 
 def days_between(later, earlier) -> Column:
-    """Fractional days ``later - earlier`` (timestamps or timestamp_ntz)."""
-    return ((F.unix_micros(col(later).cast("timestamp"))
-             - F.unix_micros(col(earlier).cast("timestamp"))) / F.lit(86_400_000_000.0))
+    """Fractional days ``later - earlier``; on timestamp_ntz the difference
+    is taken on wall-clock fields, so the session time zone (DST) never
+    changes it."""
+    return F.timestamp_diff("MICROSECOND", col(earlier), col(later)) / F.lit(86_400_000_000.0)
 
 
 def lookup(c, mapping: Mapping[str, str], default: str | None = None) -> Column:
