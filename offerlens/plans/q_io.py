@@ -50,10 +50,11 @@ def q_io_csv_roundtrip(spark, sf_dir):
 
 @register("io_versioned_latest", _COUNTS_SQL)
 def q_io_versioned_latest(spark, sf_dir):
-    """Two versions of the line table, the newest is read back."""
+    """Two versions of the line table (the older one holds every line
+    twice), the newest is read back."""
     base = io.scratch_path(spark, "versioned")
     li = fx.lines(spark, sf_dir)
-    io.write_versioned(li.limit(0), base, run_ts="2000-01-01T00.00.00.000000Z")
+    io.write_versioned(li.unionByName(li), base, run_ts="2000-01-01T00.00.00.000000Z")
     io.write_versioned(li, base, run_ts="2001-01-01T00.00.00.000000Z")
     return _counts(io.read_latest_version(spark, base))
 
