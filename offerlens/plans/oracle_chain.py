@@ -182,7 +182,7 @@ def feature_ctes(outcome_source: str = "orders") -> list[tuple[str, str]]:
               AND NOT coalesce(has_custom_pid = 1 AND expected_revenue_shp = 0, false)"""),
         ("w_order", """
             SELECT opportunity_id, offer_id,
-                   row_number() OVER (PARTITION BY opportunity_id ORDER BY c ASC NULLS LAST, offer_id) AS order_in_oppo,
+                   CAST(row_number() OVER (PARTITION BY opportunity_id ORDER BY c ASC NULLS LAST, offer_id) AS INTEGER) AS order_in_oppo,
                    count(*) OVER (PARTITION BY opportunity_id) AS offers_in_oppo
             FROM (SELECT opportunity_id, offer_id, min(created_date_off) AS c FROM f_lines2
                   WHERE opportunity_id IS NOT NULL AND offer_id IS NOT NULL GROUP BY 1, 2) t"""),

@@ -136,7 +136,7 @@ def _chi2_sql(cells: str, keys: str, x: str, y: str, yates: bool) -> str:
                count(DISTINCT {x}) AS r, count(DISTINCT {y}) AS c, first(nn) AS n
         FROM (SELECT *, rr * cc / nn AS e FROM (
                 SELECT *, sum(o) OVER (PARTITION BY {keys}, {x}) AS rr, sum(o) OVER (PARTITION BY {keys}, {y}) AS cc,
-                       sum(o) OVER (PARTITION BY {keys}) AS nn,
+                       CAST(sum(o) OVER (PARTITION BY {keys}) AS BIGINT) AS nn,
                        row_number() OVER (PARTITION BY {keys}, {x} ORDER BY {y}) = 1 AS fx,
                        row_number() OVER (PARTITION BY {keys}, {y} ORDER BY {x}) = 1 AS fy
                 FROM ({cells}) c0) c1) c2
@@ -308,14 +308,14 @@ def _fold_sql(n_splits: int) -> str:
                                                    discount_shp, published_revenue_shp) - 1 AS row_index,
                     count(*) OVER () AS n_rows FROM train),
     fb AS (SELECT *, n_rows // {n_splits + 1} AS ts FROM ix),
-    folds AS (SELECT f.fold, CASE WHEN row_index < n_rows - ({n_splits} - f.fold) * ts THEN 'train'
+    folds AS (SELECT CAST(f.fold AS INTEGER) AS fold, CASE WHEN row_index < n_rows - ({n_splits} - f.fold) * ts THEN 'train'
                                   WHEN row_index < n_rows - ({n_splits} - f.fold) * ts + ts THEN 'test' END AS role, fb.*
               FROM fb, range(0, {n_splits}) f(fold))"""
 
 
 @register("time_series_folds", with_modelling() + _fold_sql(5) + """
     SELECT fold, role, count(*) AS n, min(created_date_off) AS first_date, max(created_date_off) AS last_date,
-           sum(accepted) AS n_accepted
+           CAST(sum(accepted) AS BIGINT) AS n_accepted
     FROM folds WHERE role IS NOT NULL GROUP BY 1, 2""")
 def q_time_series_folds(spark, sf_dir):
     """expanding-window folds (5 splits) over the date-ordered train

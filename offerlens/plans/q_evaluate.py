@@ -74,7 +74,7 @@ def _ev_ctes() -> list[tuple[str, str]]:
                    rr_all / pr_all * 100 AS rcr_real, acc_all * 100 AS acc_rate_real
             FROM (SELECT config, gamma,
                     sum(CASE WHEN ins THEN real_rev END) AS rr, sum(CASE WHEN ins THEN pub_rev END) AS pr,
-                    sum(CASE WHEN ins THEN rom_exp_rev END) AS er, sum(CAST(ins AS BIGINT)) AS n_within,
+                    sum(CASE WHEN ins THEN rom_exp_rev END) AS er, CAST(sum(CAST(ins AS BIGINT)) AS BIGINT) AS n_within,
                     count(*) AS n, avg(CASE WHEN ins THEN CAST(accepted AS DOUBLE) END) AS acc,
                     sum(real_rev) AS rr_all, sum(pub_rev) AS pr_all, avg(CAST(accepted AS DOUBLE)) AS acc_all
                   FROM (SELECT *, real_discount >= low - 0.2 AND real_discount <= high + 0.2 AS ins FROM gl) x
@@ -119,12 +119,12 @@ def q_interval_size_stats(spark, sf_dir):
     SELECT config, n, real0, rom0, {rsql('real_median')} AS real_median, {rsql('rom_median')} AS rom_median,
            {rsql('real0 * 100.0 / n')} AS real0_pct, {rsql('rom0 * 100.0 / n')} AS rom0_pct,
            {rsql('med_diff')} AS med_diff, zero_warning,
-           CASE WHEN zero_warning THEN 10.0 ELSE 0.0 END AS zero_score,
+           CASE WHEN zero_warning THEN 10.0::DOUBLE ELSE 0.0::DOUBLE END AS zero_score,
            {rsql('CASE WHEN med_diff > 9 THEN least((med_diff - 9) * (med_diff - 9), 50.0) ELSE 0.0 END')} AS median_score
     FROM (SELECT *, round_even(abs(real_median - rom_median), 0) AS med_diff,
                  rom0 > 2 * real0 AND rom0 * 100.0 / n > real0 * 100.0 / n + 1.2 AS zero_warning
-          FROM (SELECT config, count(*) AS n, sum(CAST(real_discount < 3 AS BIGINT)) AS real0,
-                       sum(CAST(rom_discount < 3 AS BIGINT)) AS rom0, median(real_discount) AS real_median,
+          FROM (SELECT config, count(*) AS n, CAST(sum(CAST(real_discount < 3 AS BIGINT)) AS BIGINT) AS real0,
+                       CAST(sum(CAST(rom_discount < 3 AS BIGINT)) AS BIGINT) AS rom0, median(real_discount) AS real_median,
                        median(CAST(rom_discount AS DOUBLE)) AS rom_median
                 FROM ev GROUP BY config) a) b""")
 def q_discount_checks(spark, sf_dir):
@@ -144,7 +144,7 @@ def q_discount_checks(spark, sf_dir):
                   + CASE WHEN nc2 > 0 THEN least(100.0, CASE WHEN c20 THEN (med0 - 19) * (med0 - 19) ELSE 0.0 END
                               + CASE WHEN c21 THEN (abs(med1) - 13) * (abs(med1) - 13) ELSE 0.0 END) ELSE 0.0 END
                 ELSE 0.0 END''')} AS median_score,
-           CASE WHEN large_diff_pct > 3 THEN 10.0 ELSE 0.0 END AS large_diff_score
+           CASE WHEN large_diff_pct > 3 THEN 10.0::DOUBLE ELSE 0.0::DOUBLE END AS large_diff_score
     FROM (SELECT *, med0 < -5 AS c0, med1 > 5 AS c1, med0 > 19 AS c20, med1 < -13 AS c21,
                  CAST(med0 < -5 AS INTEGER) + CAST(med1 > 5 AS INTEGER) AS nc,
                  CAST(med0 > 19 AS INTEGER) + CAST(med1 < -13 AS INTEGER) AS nc2
@@ -179,7 +179,7 @@ def q_rcr_by_gamma(spark, sf_dir):
                  sum(CASE WHEN cl THEN real_rev END) / sum(CASE WHEN cl THEN pub_rev END) * 100 AS rcr,
                  avg(CASE WHEN cl THEN real_rev / pub_rev END) * 100 AS arcr,
                  avg(CASE WHEN cl THEN CAST(accepted AS DOUBLE) END) AS acc_rate,
-                 sum(CAST(cl AS BIGINT)) AS counts, sum(real_rev) / sum(pub_rev) * 100 AS rcr0
+                 CAST(sum(CAST(cl AS BIGINT)) AS BIGINT) AS counts, sum(real_rev) / sum(pub_rev) * 100 AS rcr0
           FROM (SELECT ev.*, e.eps, abs(rom_diff) < e.eps + 0.2 AS cl
                 FROM ev, (VALUES {', '.join(f'({float(e)!r}::DOUBLE)' for e in V.EPSILONS)}) e(eps)) x
           GROUP BY config, eps) t""")

@@ -33,7 +33,7 @@ def _scored_sql() -> tuple[str, str]:
 
 _CURVE_CTES = [
     ("sg", """
-        SELECT model, score, sum(accepted) AS pos, sum(1 - accepted) AS neg FROM (
+        SELECT model, score, CAST(sum(accepted) AS BIGINT) AS pos, CAST(sum(1 - accepted) AS BIGINT) AS neg FROM (
           SELECT 'y_pred_proba' AS model, y_pred_proba AS score, accepted FROM scored
           UNION ALL SELECT 'random_score', random_score, accepted FROM scored) u
         GROUP BY model, score"""),

@@ -22,7 +22,7 @@ def q_fix_target(spark, sf_dir):
 
 
 @register("filter_dataset", with_modelling() + """
-    SELECT organization_id, count(*) AS n, sum(accepted) AS n_accepted,
+    SELECT organization_id, count(*) AS n, CAST(sum(accepted) AS BIGINT) AS n_accepted,
            min(discount_shp) AS min_discount, max(discount_shp) AS max_discount
     FROM modelling GROUP BY organization_id""")
 def q_filter_dataset(spark, sf_dir):
@@ -34,10 +34,10 @@ def q_filter_dataset(spark, sf_dir):
 
 
 @register("train_test_split", with_modelling() + """
-    SELECT 'train' AS role, count(*) AS n, sum(accepted) AS n_accepted,
+    SELECT 'train' AS role, count(*) AS n, CAST(sum(accepted) AS BIGINT) AS n_accepted,
            min(created_date_off) AS first_date, max(created_date_off) AS last_date FROM train
     UNION ALL
-    SELECT 'test', count(*), sum(accepted), min(created_date_off), max(created_date_off) FROM test""")
+    SELECT 'test', count(*), CAST(sum(accepted) AS BIGINT), min(created_date_off), max(created_date_off) FROM test""")
 def q_train_test_split(spark, sf_dir):
     """half-open date windows."""
     train, test = M.split(M.modelling_table(spark, sf_dir))
