@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,3 +93,54 @@ def _digest(edges: DataFrame) -> tuple:
     h = F.xxhash64("a", "b")
     r = edges.agg(F.count("*"), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).first()
     return tuple(r)
+
+
+BLOOM_BITS = 24  # 2**24 bits, 2 MB: a fixed size, whatever is put in
+
+
+def bloom_places(x: np.ndarray) -> tuple[np.ndarray, ...]:
+    mask = np.uint64(2**BLOOM_BITS - 1)
+    x = x.astype(np.uint64) ^ (x.astype(np.uint64) >> np.uint64(32))
+    return tuple((x * np.uint64(c) >> np.uint64(24)) & mask for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
+
+
+def bloom_filter(keys: DataFrame) -> bytes:
+    """Bloom filter of a column of longs: one bitmap per task, combined in a
+    tree.  What passes is a superset; a fuller filter lets more through."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.zeros(2**BLOOM_BITS, bool)
+        for pdf in batches:
+            for at in bloom_places(pdf.iloc[:, 0].to_numpy(np.int64).view(np.uint64)):
+                bits[at] = True
+        if bits.any():
+            yield pd.DataFrame({"bits": [np.packbits(bits).tobytes()]})
+
+    def either(x: bytes, y: bytes) -> bytes:
+        return np.bitwise_or(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)).tobytes()
+
+    return keys.mapInPandas(run, "bits binary").rdd.map(lambda r: bytes(r[0])).treeAggregate(bytes(2**BLOOM_BITS // 8), either, either)
+
+
+def unpack(filter_: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(filter_, np.uint8)).view(bool)
+
+
+def passing(df: DataFrame, column: str, filter_: bytes) -> DataFrame:
+    """The rows whose ``column`` (long) may be in the filter; only that column
+    goes through Python."""
+    shared = df.sparkSession.sparkContext.broadcast(filter_)  # 2**BLOOM_BITS bits
+    cache: dict = {}
+
+    @F.pandas_udf("boolean")
+    def inside(x: pd.Series) -> pd.Series:
+        if "bits" not in cache:
+            cache["bits"] = unpack(shared.value)
+        null = x.isna().to_numpy()
+        a, b, c = bloom_places(x.fillna(0).to_numpy(np.int64).view(np.uint64))
+        return pd.Series(cache["bits"][a] & cache["bits"][b] & cache["bits"][c] & ~null)
+
+    return df.where(inside(column))
+
+
+ship(__name__)

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, read_table, ship
+from offerlens.llm.common import Stages, bloom_filter, bloom_places, read_table, ship, unpack
 from offerlens.llm.minhash import WordHashes
 from offerlens.llm.registry import register
 
@@ -37,7 +37,6 @@ ship(__name__)
 
 SPAN = 10
 GRAM = 5
-BLOOM_BITS = 23  # 2**23 bits, 1 MB
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _WORD = bytes(c if c >= 0x80 or 48 <= c < 58 or 97 <= c < 123 else 32 for c in range(256))
 _TABLE = bytes(_WORD[_LOWER[c]] for c in range(256))
@@ -75,11 +74,6 @@ def _windows(h: np.ndarray, span: int, at: np.ndarray) -> tuple[np.ndarray, np.n
     return hi, lo
 
 
-def _bits(fp: np.ndarray) -> tuple[np.ndarray, ...]:
-    mask = np.uint64(2**BLOOM_BITS - 1)
-    return tuple((fp * np.uint64(c) >> np.uint64(20)) & mask for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
-
-
 def item_windows(benchmark: DataFrame, span: int) -> DataFrame:
     """``(item_id, span, fp, hi, lo)`` of every window of every item."""
 
@@ -98,34 +92,14 @@ def item_windows(benchmark: DataFrame, span: int) -> DataFrame:
         run, "item_id string, span int, fp long, hi long, lo long")
 
 
-def _bloom(items: DataFrame) -> tuple[bytes, list[int]]:
-    """The filter over all fingerprints, built as one bitmap per task and
-    combined in a tree; and the window lengths that occur."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits, spans = np.zeros(2**BLOOM_BITS, bool), set()
-        for pdf in batches:
-            for b in _bits(pdf["fp"].to_numpy().view(np.uint64)):
-                bits[b] = True
-            spans |= set(pdf["span"])
-        yield pd.DataFrame({"bits": [np.packbits(bits).tobytes()], "spans": [sorted(spans)]})
-
-    maps = items.select("fp", "span").mapInPandas(run, "bits binary, spans array<int>")
-
-    def either(x: tuple, y: tuple) -> tuple:
-        return (np.bitwise_or(np.frombuffer(x[0], np.uint8), np.frombuffer(y[0], np.uint8)).tobytes(), sorted({*x[1], *y[1]}))
-
-    return maps.rdd.map(lambda r: (bytes(r[0]), list(r[1]))).treeAggregate((bytes(2**BLOOM_BITS // 8), []), either, either)
-
-
 def scan(docs: DataFrame, bloom: bytes, spans: list[int]) -> DataFrame:
     """``(doc_id, key, n_words, hits[(pos, span, hi, lo)])``: the windows of
     each document whose fingerprint passes the filter."""
-    shared = docs.sparkSession.sparkContext.broadcast(bloom)  # 2**BLOOM_BITS bits
+    shared = docs.sparkSession.sparkContext.broadcast(bloom)  # of a fixed size
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        bits = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+        bits = unpack(shared.value)
         for pdf in batches:
             n_words, hits = [], []
             for body in pdf["body"]:
@@ -135,7 +109,7 @@ def scan(docs: DataFrame, bloom: bytes, spans: list[int]) -> DataFrame:
                 for span in spans:
                     if len(h) < span:
                         continue
-                    x, y, z = _bits(fingerprints(h, span))
+                    x, y, z = bloom_places(fingerprints(h, span))
                     at = np.flatnonzero(bits[x] & bits[y] & bits[z])
                     if len(at):
                         hi, lo = _windows(h, span, at)
@@ -156,7 +130,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> Da
     ``key`` is a digest of the id and the text."""
     stages = Stages(docs.sparkSession, "winnow")
     items = stages.put(item_windows(benchmark, span), "items")
-    bloom, spans = _bloom(items)
+    spans = sorted(r["span"] for r in items.select("span").distinct().collect())  # at most SPAN lengths
+    bloom = bloom_filter(items.select("fp"))
     base = stages.put(scan(docs, bloom, spans), "scan")
 
     hits = base.where(F.size("hits") > 0).select("key", F.explode("hits").alias("h")).select("key", "h.*").distinct()

@@ -5,13 +5,15 @@ Used by the document operator (odd sketches) and the paragraph operator.
 1. every text becomes its set of hashed shingles, MinHash samples, band keys
    and (optionally) an odd sketch, in one pass over the texts;
 2. equal sets are one class member: only its smallest id goes on;
-3. every band bucket compares its members with its smallest member (a star,
-   linear in the bucket), candidates are estimated by their sketches and sizes
-   and confirmed on the full sets;
-4. confirmed links are closed to components; then the pairs of a bucket that
-   are still in different components are compared as well, so no candidate
-   link between different components is left out and a bucket whose members
-   already hang together costs no more pairs.
+3. every band bucket compares its members with one of them, its pivot (a
+   star, linear in the bucket), candidates are estimated by their sketches and
+   sizes and confirmed on the full sets; confirmed links are closed to
+   components.  The first pivot is the smallest member; the next is the member
+   that shares most buckets with the last pivot, which finds the text that
+   the others were copied from.  Only members of other components are compared;
+   rounds go on while they find links;
+4. then all pairs of a bucket that still are in different components are
+   compared, so no candidate link between different components is left out.
 """
 
 from __future__ import annotations
@@ -24,14 +26,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, connected_components, ship
+from offerlens.llm.common import Stages, bloom_filter, connected_components, passing, ship
 
 ship(__name__)
 
-SKETCH_WORDS = 8  # 512 bits
 SIGMAS = 5.0
 
 
@@ -88,25 +89,44 @@ def minhash(items: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np.ndar
     return low
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the MinHash samples: sample (i, value) flips one bit."""
-    bits = 64 * SKETCH_WORDS
-    h = (samples.astype(np.uint64) + (np.arange(len(samples), dtype=np.uint64) << np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    odd = np.bincount((h >> np.uint64(40)) % np.uint64(bits), minlength=bits) & 1
+def odd_sketch(items: np.ndarray, longs: int) -> np.ndarray:
+    """Parity bitmap of ``64 * longs`` bits: each of the ``32 * longs`` smallest
+    hashes of the set (its bottom-k MinHash samples) flips one bit."""
+    bits = 64 * longs
+    odd = np.bincount(items[:32 * longs] * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32) & np.uint64(bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def sketch_limit(percent: int, samples: int) -> int:
-    """Largest XOR population count that a pair at the threshold shows, with
-    ``SIGMAS`` standard deviations to spare."""
-    t, m = percent / 100, 64 * SKETCH_WORDS
-    d = 2 * samples * (1 - t)
-    keep = (1 - 2 / m) ** d
-    var = 4 * samples * t * (1 - t) * keep**2 + m / 4 * (1 - (1 - 2 / m) ** (2 * d))
-    return math.floor(m / 2 * (1 - keep) + SIGMAS * math.sqrt(var))
-
-
-def signatures(items: DataFrame, n: int, bands: int, rows: int, sketch: bool) -> DataFrame:
+def sketch_cap(percent: int, longs: int, a: Column, b: Column) -> Column:
+    """The largest population count that the XOR of the sketches of two linked
+    sets of a and b shingles shows, with ``SIGMAS`` standard deviations to spare.
+
+    Linked sets have at least t / (1 + t) (a + b) common shingles.  Those below
+    the lower sampling threshold are in both samples; the samples then differ
+    in at most d elements, and d elements flip m / 2 (1 - exp(-2 d / m)) of m
+    bits on average."""
+    t, k, m = percent / 100, 32 * longs, 64 * longs
+    ka, kb = F.least(a, F.lit(float(k))), F.least(b, F.lit(float(k)))
+    share = F.least(ka / a, kb / b)
+    common = share * (t / (1 + t)) * (a + b)
+    d = F.greatest(F.lit(0.0), ka + kb - 2 * common)
+    p = F.least(F.lit(1.0), common / F.least(ka, kb))
+    sampled = F.when(share < 1, 4 * F.least(ka, kb) * F.greatest(p * (1 - p), F.lit(t * (1 - t)))).otherwise(F.lit(0.0))
+    slope = F.exp(-4 * d / m)
+    var = slope * sampled + F.greatest(F.lit(0.0), m / 4 * (1 - slope) - d * slope)
+    return F.floor(m / 2 * (1 - F.exp(-2 * d / m)) + SIGMAS * F.sqrt(var) + 1).cast("int")
+
+
+def may_link(percent: int, longs: int) -> Column:
+    """Whether sets a and b (sizes ``n_``, caps ``c_`` and sketches ``s_``) can
+    reach the threshold: by their sizes; by the smaller set's cap, kept per
+    row; by the cap for both sizes."""
+    odd = functools.reduce(lambda u, v: u + v, [F.bit_count(F.col("s_a")[i].bitwiseXOR(F.col("s_b")[i])) for i in range(longs)])
+    cap = sketch_cap(percent, longs, F.col("n_a").cast("double"), F.col("n_b").cast("double"))
+    return ((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (odd <= F.least("c_a", "c_b"))) & (odd <= cap)
+
+
+def signatures(items: DataFrame, n: int, bands: int, rows: int, longs: int) -> DataFrame:
     """``(id, n, key, bands, sketch)`` of ``items(id, body)``; an empty set has
     null key, bands and sketch."""
 
@@ -126,7 +146,7 @@ def signatures(items: DataFrame, n: int, bands: int, rows: int, sketch: bool) ->
                     key = (key ^ low.reshape(bands, rows)[:, r]) * np.uint64(0x9E3779B97F4A7C15)
                     key ^= key >> np.uint64(31)
                 out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), key.view(np.int64),
-                            odd_sketch(low) if sketch else None))
+                            odd_sketch(s, longs)))
             yield pd.DataFrame({"id": pdf["id"], "n": [x[0] for x in out], "key": [x[1] for x in out],
                                 "bands": [x[2] for x in out], "sketch": [x[3] for x in out]})
 
@@ -149,15 +169,17 @@ def _confirm(pairs: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataF
             out.append(100 * both >= percent * (len(left) + len(right) - both))
         return pd.Series(out)
 
-    right = bodies.select(F.col("id").alias("b"), F.col("body").alias("body_b"))
-    left = bodies.select(F.col("id").alias("a"), F.col("body").alias("body_a"))
-    return pairs.join(right, "b").join(left, "a").where(similar("body_a", "body_b")).select("a", "b")
+    # sort-merge at every size: texts are shuffled for their own pairs only
+    b = passing(bodies, "id", bloom_filter(pairs.select("b"))).select(F.col("id").alias("b"), F.col("body").alias("body_b"))
+    a = passing(bodies, "id", bloom_filter(pairs.select("a"))).select(F.col("id").alias("a"), F.col("body").alias("body_a"))
+    both = pairs.hint("merge").join(b, "b").hint("merge").join(a, "a")
+    return both.where(similar("body_a", "body_b")).select("a", "b").distinct()
 
 
-def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, bands: int, rows: int, sketch: bool) -> DataFrame:
+def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, bands: int, rows: int, longs: int) -> DataFrame:
     """``(id, n, component)`` of every row of ``items(id, body)``."""
     items = items.select("id", F.col("body").cast("binary").alias("body"))
-    sig = stages.put(signatures(items, n, bands, rows, sketch), "signatures")
+    sig = stages.put(signatures(items, n, bands, rows, longs), "signatures")
     # one member per distinct set; a row's set with a null id stands alone
     reps = stages.put(sig.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep")), "sets")
     one = (sig.join(reps, (sig["key"] == reps["key"]) & (sig["id"] == reps["rep"]), "left_semi")
@@ -169,42 +191,52 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
     buckets = stages.put(buckets.select("band", "pivot"), "buckets")
     member = stages.put(rows_.join(buckets, "band"), "bucket-members")
 
-    marks = one.select("id", "n", "sketch")
-    limit = sketch_limit(percent, bands * rows)
+    marks = one.select("id", "n", "sketch", sketch_cap(percent, longs, F.col("n").cast("double"), F.col("n") / (percent / 100)).alias("cap"))
+
+    def side(df: DataFrame, i: str) -> DataFrame:
+        return df.withColumnsRenamed({"id": i, "n": "n_" + i, "cap": "c_" + i, "sketch": "s_" + i})
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
-        x = marks.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-        y = marks.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-        p = pairs.join(x, "a").join(y, "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-        if sketch:
-            odd = functools.reduce(lambda u, v: u + v, [F.bit_count(F.col("s_a")[i].bitwiseXOR(F.col("s_b")[i]))
-                                                       for i in range(SKETCH_WORDS)])
-            p = p.where(odd <= limit)
-        p = stages.put(p.select("a", "b"), f"{name}-candidates")
-        ids = p.select(F.col("a").alias("id")).union(p.select(F.col("b").alias("id"))).distinct()
-        bodies = items.join(ids, "id", "left_semi")
-        # a class member's set stands for its id: rows that share an id but not the text are left to their own class
-        own = sig.join(ids, "id", "left_semi").groupBy("id").agg(F.countDistinct("key").alias("texts")).where("texts > 1")
-        single = bodies.dropDuplicates(["id", "body"]) if own.head(1) else bodies.dropDuplicates(["id"])
-        return stages.put(_confirm(p, stages.put(single, f"{name}-texts"), n, percent), f"{name}-links")
-
-    first = member.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    first = stages.put(first, "stars")
-    found = links(first, "star")
+        x, y = side(marks, "a"), side(marks, "b")
+        p = stages.put(pairs.join(x, "a").join(y, "b").where(may_link(percent, longs)).select("a", "b"), f"{name}-candidates")
+        return stages.put(_confirm(p, items, n, percent), f"{name}-links")
+
+    pivots, used, tested, found, comp = buckets, buckets.withColumnRenamed("pivot", "id"), None, None, None
+    while True:
+        now = member.select("band", "id")
+        if comp is not None:
+            now = now.join(comp, now["id"] == comp["node"], "left").select("band", "id", F.coalesce("component", "id").alias("c"))
+            now = stages.put(now, "bucket-components")
+            mixed = now.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band")
+            now = stages.put(now.join(stages.put(mixed, "mixed-buckets"), "band", "left_semi"), "mixed-members")
+            # the members by the number of buckets that they share with their bucket's last pivot
+            star = now.join(pivots, "band")
+            shared = stages.put(star.groupBy("pivot", "id").agg(F.count("*").alias("shared")), "shared")
+            rank = star.join(shared, ["pivot", "id"]).join(used, ["band", "id"], "left_anti")
+            pivots = rank.groupBy("band").agg(F.max(F.struct("shared", F.negative("id").alias("id"), "c")).alias("p"))
+            pivots = stages.put(pivots.select("band", F.negative("p.id").alias("pivot"), F.col("p.c").alias("pc")), "pivots")
+            used = used.union(pivots.select("band", F.col("pivot").alias("id")))
+            pairs = now.join(pivots, "band").where("c <> pc")
+            pivots = pivots.select("band", "pivot")
+        else:
+            pairs = member.where("id <> pivot")
+        pairs = pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+        pairs = stages.put(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "stars")
+        tested = pairs if tested is None else tested.union(pairs)
+        new = links(pairs, "star")
+        if not new.head(1):
+            break
+        found = new if found is None else found.union(new)
+        comp = stages.put(connected_components(stages, found), "components")
+
+    now = now if comp is not None else now.withColumn("c", F.col("id"))
+    now = now.select("band", "id", "c").join(marks, "id")
+    x, y = (side(now, i).withColumnRenamed("c", "comp_" + i) for i in "ab")
+    rest = x.join(y, (x["band"] == y["band"]) & (F.col("comp_a") < F.col("comp_b")) & may_link(percent, longs))
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    new = links(rest.join(tested, ["a", "b"], "left_anti"), "rest")
+    found = new if found is None else found.union(new)
     comp = stages.put(connected_components(stages, found), "components")
 
-    m = member.join(comp, member["id"] == comp["node"], "left").select(
-        "band", "id", "pivot", F.coalesce("component", "id").alias("c"))
-    m = stages.put(m, "bucket-components")
-    mixed = stages.put(m.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band"),
-                       "mixed-buckets")
-    m = stages.put(m.join(mixed, "band", "left_semi").where("id <> pivot"), "mixed-members")
-    x, y = m.select("band", F.col("id").alias("a"), F.col("c").alias("ca")), m.select("band", F.col("id").alias("b"), F.col("c").alias("cb"))
-    # a pivot has been compared with its whole bucket
-    rest = x.join(y, "band").where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = links(rest.join(first, ["a", "b"], "left_anti"), "rest")
-    if more.head(1):
-        comp = stages.put(connected_components(stages, found.union(more)), "components")
-
     out = sig.select("id", "n", "key").join(reps, "key", "left").join(comp, F.col("rep") == F.col("node"), "left")
     return out.select("id", "n", F.coalesce("component", "rep", "id").alias("component"))

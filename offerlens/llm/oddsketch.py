@@ -1,8 +1,8 @@
 """MinHash near-duplicate documents with odd sketches.
 
 A document's set is its distinct word shingles (A-Z lower-cased, words
-separated by ASCII white space).  MinHash samples are banded for candidates
-and folded into a parity bitmap (the odd sketch): the population count of two
+separated by ASCII white space).  MinHash samples are banded for candidates;
+bottom-k samples fold into a parity bitmap (the odd sketch): the population count of two
 sketches' XOR estimates a high similarity precisely, so candidates far below
 the threshold go before any set is compared; the rest is confirmed on the
 full sets.  Documents are linked at ``100 * intersection >= 80 * union`` and
@@ -26,13 +26,14 @@ from offerlens.llm.registry import register
 
 BANDS, ROWS = 30, 5  # finds a pair at 0.8 with probability 1 - 7e-6
 PERCENT = 80
+SKETCH = 16  # longs: 1024 bits for the 512 smallest hashes
 
 
 def near_duplicate_documents(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row."""
     stages = Stages(docs.sparkSession, "oddsketch")
     items = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("body"))
-    out = near_duplicates(stages, items, shingle, percent, BANDS, ROWS, sketch=True)
+    out = near_duplicates(stages, items, shingle, percent, BANDS, ROWS, SKETCH)
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
                       F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
