@@ -8,7 +8,10 @@ one's docs.  All but the last return the columns of ``documents``.
   predicts to be toxic;
 * ``near_dedup`` keeps the smallest id of every group of near copies
   (five-word shingles, similarity 0.8 or more);
-* ``decontaminate`` drops the documents that contain a window of a benchmark
+* ``suffix_dedup`` removes every byte inside a 400-byte string that occurs
+  elsewhere as well (an incomplete character at an edge goes with it); the
+  document stays with what remains;
+* ``benchmark_decontamination`` drops the documents that contain a window of a benchmark
   item;
 * ``mix`` returns what the mix to target weights takes of every document.
 
@@ -27,6 +30,7 @@ from offerlens.llm.common import Stages, read_table
 from offerlens.llm.decontaminate import decontaminate
 from offerlens.llm.mixing import mix
 from offerlens.llm.oddsketch import near_duplicate_documents
+from offerlens.llm.suffixes import remove_repeats
 from offerlens.llm.toxicity import score_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -51,6 +55,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept
 
 
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = remove_repeats(docs.select(*COLUMNS))
+    text = F.when(F.col("n_removed") > 0, F.regexp_replace(F.decode("kept", "utf-8"), "\ufffd", "")).otherwise(F.col("text"))
+    return out.withColumn("text", text).withColumn(
+        "n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
     hit = found.where("contaminated").select("key").distinct()
@@ -65,6 +76,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", toxicity),
     ("near_dedup", near_dedup),
+    ("suffix_dedup", suffix_dedup),
     ("benchmark_decontamination", benchmark),
     ("mixing", mixing),
 ]
