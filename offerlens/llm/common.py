@@ -22,6 +22,12 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def plain(x: pd.Series) -> np.ndarray:
+    """A column as Python objects; a string column that came in several Arrow
+    chunks cannot be handed back as it is."""
+    return x.to_numpy(dtype=object)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, bloom_filter, bloom_places, read_table, ship, unpack
+from offerlens.llm.common import Stages, bloom_filter, bloom_places, plain, read_table, ship, unpack
 from offerlens.llm.minhash import WordHashes
 from offerlens.llm.registry import register
 
@@ -116,7 +116,7 @@ def scan(docs: DataFrame, bloom: bytes, spans: list[int]) -> DataFrame:
                         found += [{"pos": p, "span": span, "hi": u, "lo": v} for p, u, v in
                                   zip(at.tolist(), hi.view(np.int64).tolist(), lo.view(np.int64).tolist())]
                 hits.append(found)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "key": pdf["key"], "n_words": n_words, "hits": hits})
+            yield pd.DataFrame({"doc_id": plain(pdf["doc_id"]), "key": plain(pdf["key"]), "n_words": n_words, "hits": hits})
 
     # equal rows share a key, and so their hits
     key = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))).cast("binary"))

@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from offerlens.llm.common import read_table, ship
+from offerlens.llm.common import plain, read_table, ship
 from offerlens.llm.registry import register
 
 ship(__name__)
@@ -166,7 +166,7 @@ def extract(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             text = [main_text(x) for x in pdf["html"]]
-            yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": text, "n_chars": [len(x) for x in text]})
+            yield pd.DataFrame({"page_id": plain(pdf["page_id"]), "url": plain(pdf["url"]), "text": text, "n_chars": [len(x) for x in text]})
 
     kind = pages.schema["page_id"].dataType.simpleString()
     return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id {kind}, url string, text string, n_chars long")

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, connected_components, read_table, ship
+from offerlens.llm.common import Stages, connected_components, plain, read_table, ship
 from offerlens.llm.registry import register
 
 ship(__name__)
@@ -69,7 +69,7 @@ def _codes(vectors: DataFrame, mean: np.ndarray, proj: np.ndarray) -> DataFrame:
                 x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 code = np.packbits((x - mean) @ proj > 0, axis=1).copy().view(np.int64)[:, 0]
-                yield pd.DataFrame({"id": pdf["id"], "g": pdf["g"], "code": code})
+                yield pd.DataFrame({"id": pdf["id"], "g": plain(pdf["g"]), "code": code})
 
     return vectors.mapInPandas(run, "id long, g string, code long")
 

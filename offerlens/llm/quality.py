@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, fold, read_table, ship
+from offerlens.llm.common import Stages, fold, plain, read_table, ship
 from offerlens.llm.registry import register
 
 ship(__name__)
@@ -157,7 +157,7 @@ def score(model: dict, x: np.ndarray) -> np.ndarray:
 def feature_table(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "x": [features(b) for b in pdf["body"]]})
+            yield pd.DataFrame({"doc_id": plain(pdf["doc_id"]), "x": [features(b) for b in pdf["body"]]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("binary").alias("body")).mapInPandas(run, f"doc_id {kind}, x array<double>")

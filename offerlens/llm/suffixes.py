@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, bloom_filter, bloom_places, read_table, ship, unpack
+from offerlens.llm.common import Stages, bloom_filter, bloom_places, plain, read_table, ship, unpack
 from offerlens.llm.registry import register
 
 ship(__name__)
@@ -264,11 +264,13 @@ def surroundings(texts: DataFrame, filter_: bytes) -> DataFrame:
                 h = hashes.of(p, p + GRAM)
                 x, y, z = bloom_places(h)
                 ok = np.flatnonzero(bits[x] & bits[y] & bits[z])
+                if not len(ok):
+                    continue
                 p, lo, hi, doc, h = (v[ok] for v in (p, lo, hi, doc, h))
                 begin = np.concatenate([[0], ends])[doc]
                 yield pd.DataFrame({"h": h.view(np.int64), "c1": (hashes.of(lo, hi + SPAN) + (p - lo).astype(np.uint64)).view(np.int64),
                                     "c2": hashes.of(lo, hi + SPAN, 1).view(np.int64),
-                                    "key": pdf["key"].to_numpy()[np.array(rows)[doc]] if len(doc) else [], "lo": lo - begin, "hi": hi - begin})
+                                    "key": plain(pdf["key"])[np.array(rows)[doc]], "lo": lo - begin, "hi": hi - begin})
 
     return texts.mapInPandas(run, "h long, c1 long, c2 long, key string, lo long, hi long")
 
@@ -298,11 +300,13 @@ def set_texts(texts: DataFrame, filter_: bytes) -> DataFrame:
                     # with no window that begins at the shared bytes themselves, the text ends inside them
                     full = e >= a + SHARED
                     on, a, e = on[full], a[full], e[full]
+                    if not len(on):
+                        continue
                     left = np.maximum(lo[on], a - (STEP - 1))
                     yield pd.DataFrame({
                         "s1": hashes.of(a, a + SHARED).view(np.int64), "s2": hashes.of(a, a + SHARED, 1).view(np.int64), "j": j,
                         "left": [raw[u:v] for u, v in zip(left, a)], "right": [raw[u:v] for u, v in zip(a + SHARED, e)],
-                        "key": pdf["key"].to_numpy()[np.array(rows)[doc[on]]] if len(on) else [], "at": a - begin[on]})
+                        "key": plain(pdf["key"])[np.array(rows)[doc[on]]], "at": a - begin[on]})
 
     return texts.mapInPandas(run, "s1 long, s2 long, j int, left binary, right binary, key string, at long")
 
@@ -321,11 +325,12 @@ def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for row in pdf[["s1", "s2", "j", "left", "right"]].itertuples(index=False, name=None):
             if len(held) >= SET_TEXTS and held[-1][:3] != row[:3]:
-                yield solve(held)
+                if len(out := solve(held)):
+                    yield out
                 held = []
             held.append(row)
-    if held:
-        yield solve(held)
+    if held and len(out := solve(held)):
+        yield out
 
 
 def repeated_windows(stages: Stages, texts: DataFrame) -> DataFrame:
