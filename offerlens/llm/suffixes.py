@@ -50,8 +50,9 @@ SPAN, GRAM = 400, 201
 OFFSETS = SPAN - GRAM + 1  # 200 places of an anchor in its window
 STEP = 25
 SHARED = SPAN - STEP + 1  # 376 bytes that a set's texts share
-SET_TEXTS = 2_000
-CHUNK = 1 << 20
+SET_TEXTS = 1_000
+CHUNK = 1 << 18
+BATCH_TEXTS = 500  # of a suffix array, beyond a set's end
 
 
 # ---- suffix array ----------------------------------------------------------
@@ -324,7 +325,7 @@ def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for pdf in batches:
         for row in pdf[["s1", "s2", "j", "left", "right"]].itertuples(index=False, name=None):
-            if len(held) >= SET_TEXTS and held[-1][:3] != row[:3]:
+            if len(held) >= BATCH_TEXTS and held[-1][:3] != row[:3]:
                 if len(out := solve(held)):
                     yield out
                 held = []
@@ -375,25 +376,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.withColumn("key", F.md5(body)).withColumn("body", body)
     windows = repeated_windows(stages, docs.select("key", "body"))
     runs = windows.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))  # of one text
-    runs = stages.put(runs, "runs")
+    runs = stages.put(runs.select("key", F.col("runs.lo").alias("los"), F.col("runs.hi").alias("his")), "runs")
 
     @F.pandas_udf("n_removed long, n_spans long, kept_sha256 string, kept binary")
-    def cut(bodies: pd.Series, runs: pd.Series) -> pd.DataFrame:
+    def cut(bodies: pd.Series, los: pd.Series, his: pd.Series) -> pd.DataFrame:
         out = []
-        for b, r in zip(bodies, runs):
+        for b, lo, hi in zip(bodies, los, his):
             n = spans = 0
-            if r is not None and len(r):
-                edge = np.zeros(len(b) + 1, np.int64)
-                np.add.at(edge, [x["lo"] for x in r], 1)
-                np.add.at(edge, [x["hi"] + SPAN for x in r], -1)
+            if lo is not None and len(lo):
+                edge = np.zeros(len(b) + 1, np.int32)
+                np.add.at(edge, lo, 1)
+                np.add.at(edge, hi + SPAN, -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 n, spans = int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 b = np.frombuffer(b, np.uint8)[~gone].tobytes()
             out.append((n, spans, hashlib.sha256(b).hexdigest(), b))
         return pd.DataFrame(out, columns=["n_removed", "n_spans", "kept_sha256", "kept"])
 
-    out = docs.join(runs, "key", "left").withColumn("cut", cut("body", "runs"))
-    return out.withColumn("n_bytes", F.length("body").cast("long")).select("*", "cut.*").drop("key", "body", "runs", "cut")
+    out = docs.join(runs, "key", "left").withColumn("cut", cut("body", "los", "his"))
+    return out.withColumn("n_bytes", F.length("body").cast("long")).select("*", "cut.*").drop("key", "body", "los", "his", "cut")
 
 
 @register("op6_suffix_grouping_dedup")
