@@ -361,10 +361,15 @@ def repeated_windows(stages: Stages, texts: DataFrame) -> DataFrame:
     found = found.union(hit.groupBy(*name).agg(F.bit_or(F.expr("shiftleft(1, k)")).alias("starts")))
     every = one.where("n > 1").select(*name, F.lit((1 << STEP) - 1).alias("starts"))
     found = stages.put(found.union(every).groupBy(*name).agg(F.bit_or("starts").alias("starts")), "repeated")
-    k = F.explode(F.sequence(F.lit(0), F.length("left")))
-    starts = parts.join(found, name).select("key", "at", "starts", k.alias("k"), F.length("right").alias("r"))
-    starts = starts.where((F.getbit(F.col("starts").cast("long"), F.col("k")) == 1) & (F.col("k") + F.col("r") >= STEP - 1))
-    starts = starts.select("key", (F.col("at") - F.col("k")).alias("lo"), (F.col("at") - F.col("k")).alias("hi"))
+    # runs of starts: at - k for the bits k that leave room on either side
+    low = "greatest(0, %d - length(right))" % (STEP - 1)
+    bits = F.expr(f"shiftleft(shiftright(starts & (shiftleft(2, length(left)) - 1), {low}), {low})")
+    starts = parts.join(found, name).select("key", "at", bits.alias("m")).where("m <> 0")
+    runs = F.expr(f"""arrays_zip(
+        filter(sequence(0, {STEP - 1}), k -> (shiftright(m, k) & 1) = 1 AND (shiftright(m, k + 1) & 1) = 0),
+        filter(sequence(0, {STEP - 1}), k -> (shiftright(m, k) & 1) = 1 AND (shiftright(shiftleft(m, 1), k) & 1) = 0))""")
+    starts = starts.select("key", "at", F.explode(runs).alias("run"))
+    starts = starts.select("key", (F.col("at") - F.col("run")["0"]).alias("lo"), (F.col("at") - F.col("run")["1"]).alias("hi"))
     return whole.union(starts).distinct()
 
 
