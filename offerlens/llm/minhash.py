@@ -196,9 +196,10 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
     def side(df: DataFrame, i: str) -> DataFrame:
         return df.withColumnsRenamed({"id": i, "n": "n_" + i, "cap": "c_" + i, "sketch": "s_" + i})
 
-    def links(pairs: DataFrame, name: str) -> DataFrame:
-        x, y = side(marks, "a"), side(marks, "b")
-        p = stages.put(pairs.join(x, "a").join(y, "b").where(may_link(percent, longs)).select("a", "b"), f"{name}-candidates")
+    def links(pairs: DataFrame, name: str, estimated: bool = False) -> DataFrame:
+        if not estimated:
+            pairs = pairs.join(side(marks, "a"), "a").join(side(marks, "b"), "b").where(may_link(percent, longs)).select("a", "b")
+        p = stages.put(pairs, f"{name}-candidates")
         return stages.put(_confirm(p, items, n, percent), f"{name}-links")
 
     pivots, used, tested, found, comp = buckets, buckets.withColumnRenamed("pivot", "id"), None, None, None
@@ -234,7 +235,7 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
     x, y = (side(now, i).withColumnRenamed("c", "comp_" + i) for i in "ab")
     rest = x.join(y, (x["band"] == y["band"]) & (F.col("comp_a") < F.col("comp_b")) & may_link(percent, longs))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    new = links(rest.join(tested, ["a", "b"], "left_anti"), "rest")
+    new = links(rest.join(tested, ["a", "b"], "left_anti"), "rest", estimated=True)
     found = new if found is None else found.union(new)
     comp = stages.put(connected_components(stages, found), "components")
 
