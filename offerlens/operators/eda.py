@@ -139,7 +139,7 @@ def _chi2_from_cells(cells: DataFrame, keys: Sequence[str], x: str, y: str, yate
     c = cells.withColumns({"__r": F.sum("o").over(Window.partitionBy(*k, x)),
                            "__c": F.sum("o").over(Window.partitionBy(*k, y)),
                            "__n": F.sum("o").over(Window.partitionBy(*k))})
-    e = F.col("__r") * F.col("__c") / F.col("__n")
+    e = F.col("__r").cast("double") * F.col("__c") / F.col("__n")
     first_x = F.row_number().over(Window.partitionBy(*k, x).orderBy(y)) == 1
     first_y = F.row_number().over(Window.partitionBy(*k, y).orderBy(x)) == 1
     c = c.withColumns({"__e": e, "__fx": first_x, "__fy": first_y})

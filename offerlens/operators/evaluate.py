@@ -168,13 +168,13 @@ def eps_rcr(ev: DataFrame, epsilons: Sequence[float] = EPSILONS, tol: float = WI
     r = x.groupBy("config", "eps").agg(
         F.sum(F.when(close, F.col("real_rev"))).alias("__rr"),
         F.sum(F.when(close, F.col("pub_rev"))).alias("__pr"),
-        F.avg(F.when(close, F.col("real_rev") / F.col("pub_rev"))).alias("__arcr"),
+        F.avg(F.when(close, F.try_divide("real_rev", "pub_rev"))).alias("__arcr"),
         F.avg(F.when(close, F.col("accepted").cast("double"))).alias("acc_rate"),
         F.sum(close.cast("long")).alias("counts"),
         F.sum("real_rev").alias("__rr0"), F.sum("pub_rev").alias("__pr0"))
-    r = r.withColumns({"rcr": F.col("__rr") / F.col("__pr") * 100, "arcr": F.col("__arcr") * 100,
-                       "__rcr0": F.col("__rr0") / F.col("__pr0") * 100})
-    return r.select("config", "eps", (F.col("rcr") / F.col("__rcr0") * 100 - 100).alias("rcr_increase"),
+    r = r.withColumns({"rcr": F.try_divide("__rr", "__pr") * 100, "arcr": F.col("__arcr") * 100,
+                       "__rcr0": F.try_divide("__rr0", "__pr0") * 100})
+    return r.select("config", "eps", (F.try_divide("rcr", "__rcr0") * 100 - 100).alias("rcr_increase"),
                     "rcr", "arcr", "acc_rate", "counts")
 
 
@@ -250,7 +250,7 @@ def auc_per_config(scored: DataFrame) -> DataFrame:
     g = g.join(F.broadcast(tot), "config")
     term = F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.lit(0.5) * F.col("neg"))
     return g.groupBy("config").agg(
-        F.when((F.first("P") > 0) & (F.first("N") > 0), F.sum(term) / (F.first("P") * F.first("N"))).alias("auc"))
+        F.when((F.first("P") > 0) & (F.first("N") > 0), F.sum(term) / (F.first("P").cast("double") * F.first("N"))).alias("auc"))
 
 
 def logloss_rcr_correlation(scored: DataFrame, rcr: DataFrame, eps: float = 1e-15) -> DataFrame:
