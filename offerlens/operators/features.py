@@ -146,9 +146,10 @@ def audit_outcome(audit: DataFrame, keep_unsent: bool = False) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def latest_rates(rates: DataFrame) -> DataFrame:
-    """Latest EUR rate per currency."""
-    return rates.groupBy("from_currency").agg(
-        F.max_by("rate_eur_ber", "bill_per_dt").alias("rate_eur"),
+    """Latest EUR rate per currency that is not null; currency codes are trimmed."""
+    known = F.when(F.col("rate_eur_ber").isNotNull(), F.col("bill_per_dt"))
+    return rates.withColumn("from_currency", F.trim("from_currency")).groupBy("from_currency").agg(
+        F.max_by("rate_eur_ber", known).alias("rate_eur"),
         F.max("bill_per_dt").alias("rate_date"))
 
 
