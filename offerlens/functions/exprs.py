@@ -79,7 +79,12 @@ def exact_sum(c) -> Column:
     DECIMAL(38, 10), returned as double.  A recomputed partition or a
     different shuffle arrival order gives bit-identical results, so values
     derived from the sum in two branches of a plan agree."""
-    return F.sum(col(c).cast("decimal(38,10)")).cast("double")
+    return exact_decimal_sum(c).cast("double")
+
+
+def exact_decimal_sum(c) -> Column:
+    """The same sum left as a decimal, to be added up further."""
+    return F.sum(col(c).cast("decimal(38,10)"))
 
 
 def bool_int(cond: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerlens.functions.exprs import (add_suffix, bool_int, days_between, discount_pct,
-                                       exact_sum, last_non_null, lookup, lower_columns, nullif_zero,
+                                       exact_decimal_sum, last_non_null, lookup, lower_columns, nullif_zero,
                                        safe_ln, vocab_map)
 from offerlens.functions.sizing import checked_broadcast
 
@@ -109,6 +109,10 @@ def prepare_lines(lines: DataFrame) -> DataFrame:
 # Audit log -> outcome per offer (A2, A3, A4)
 # ---------------------------------------------------------------------------
 
+# ids repeat between organizations: every offer key carries the organization
+OFFER = ["organization_id", "offer_id"]
+
+
 def outcome_rule(new_value: Column, old_value: Column) -> Column:
     """A4: later rules overwrite earlier ones in the reference; as a CASE the
     most specific rule comes first."""
@@ -123,12 +127,12 @@ def outcome_rule(new_value: Column, old_value: Column) -> Column:
 def audit_outcome(audit: DataFrame, keep_unsent: bool = False) -> DataFrame:
     """Last status per offer (last non-NULL value per column in the order
     ``updated_date, new_value``), number of "sent out" rows (NULL if none),
-    outcome by rule.  One mergeable aggregation keyed by offer."""
+    outcome by rule.  One mergeable aggregation keyed by (organization, offer)."""
     a = lower_columns(audit)
     a = a.drop(*[c for c in ["contactrole"] if c in a.columns]).dropDuplicates()
     a = a.filter(F.col("offer_id").isNotNull())
     order = [F.col("updated_date"), F.col("new_value"), F.col("old_value")]
-    g = a.groupBy("offer_id").agg(
+    g = a.groupBy(*OFFER).agg(
         last_non_null("new_value", *order).alias("new_value"),
         last_non_null("old_value", *order).alias("old_value"),
         last_non_null("updated_date", *order).alias("updated_date"),
@@ -194,8 +198,8 @@ def join_entities(lines: DataFrame, offers: DataFrame, oppo: DataFrame, customer
                        ["organization_id", "opportunity_id", "gsfa_customer_id"],
                        null_safe=("opportunity_id",))
     step3 = _left_join(step2, prepare_customer(customer), ["organization_id", "gsfa_customer_id"])
-    out = outcome.select("offer_id", "outcome", "sent_out", "new_value", "old_value")
-    return step3.join(out, "offer_id", "left")
+    out = outcome.select(*OFFER, "outcome", "sent_out", "new_value", "old_value")
+    return step3.join(out, OFFER, "left")
 
 
 def enrich_lines(df: DataFrame) -> DataFrame:
@@ -231,25 +235,36 @@ def currency_adjust(df: DataFrame, orgs: DataFrame, convert_tdi_recommended: boo
     return df.withColumns(cols).drop("dual_currency", "ex_rate_dom2int")
 
 
+REVENUES = ["expected_revenue_shp", "published_revenue_shp", "recommended_revenue_shp"]
+
+
 def offer_level(df: DataFrame) -> DataFrame:
-    """A5 + A6 + F10 flag in ONE aggregation keyed by offer, joined back.
+    """A5 + A6 + F10 flag per offer, joined back.
 
+    Lines are added up per (organization, offer, product cluster) first, then
+    these few rows per offer: domain and mix are functions of the cluster, so
+    only three exact sums meet every line (partially added up before the shuffle)
+    and the number of products is a plain count in the second aggregation.
     Sums of an all-NULL group are 0 (pandas); shares are sum per category /
-    offer sum, 0 when undefined; distinct product count via a mergeable
-    count-distinct."""
+    offer sum, 0 when undefined."""
+    cluster = [*OFFER, "product_cluster_shp", "product_domain", "product_mix"]
+    lines = df.filter(F.col("organization_id").isNotNull() & F.col("offer_id").isNotNull())
+    per_cluster = lines.select(*cluster, "selected_pid_name_shp", *REVENUES).groupBy(*cluster).agg(
+        *[exact_decimal_sum(c).alias(c) for c in REVENUES],
+        F.max((F.col("selected_pid_name_shp") == "CustomPID").cast("int")).alias("has_custom_pid"))
+
+    def total_of(c) -> Column:
+        return F.sum(c).cast("double")
+
     pub = F.col("published_revenue_shp")
-    aggs = [
-        F.coalesce(exact_sum("expected_revenue_shp"), F.lit(0.0)).alias("offer_expected_revenue"),
-        F.coalesce(exact_sum(pub), F.lit(0.0)).alias("offer_published_revenue"),
-        F.coalesce(exact_sum("recommended_revenue_shp"), F.lit(0.0)).alias("offer_recommended_revenue"),
-        F.count_distinct("product_cluster_shp").alias("offer_products"),
-        F.max((F.col("selected_pid_name_shp") == "CustomPID").cast("int")).alias("has_custom_pid"),
-    ]
+    aggs = [F.coalesce(total_of(F.col(f"{c}_revenue_shp")), F.lit(0.0)).alias(f"offer_{c}_revenue")
+            for c in ("expected", "published", "recommended")]
+    aggs += [F.count("product_cluster_shp").alias("offer_products"), F.max("has_custom_pid").alias("has_custom_pid")]
     for dom, name in DOMAIN_SHARE_COLUMNS.items():
-        aggs.append(exact_sum(F.when(F.col("product_domain") == dom, pub)).alias(f"__s_{name}"))
+        aggs.append(total_of(F.when(F.col("product_domain") == dom, pub)).alias(f"__s_{name}"))
     for mix, name in MIX_SHARE_COLUMNS.items():
-        aggs.append(exact_sum(F.when(F.col("product_mix") == mix, pub)).alias(f"__s_{name}"))
-    g = df.filter(F.col("offer_id").isNotNull()).groupBy("offer_id").agg(*aggs)
+        aggs.append(total_of(F.when(F.col("product_mix") == mix, pub)).alias(f"__s_{name}"))
+    g = per_cluster.groupBy(*OFFER).agg(*aggs)
     total = F.when(F.col("offer_published_revenue") != 0, F.col("offer_published_revenue"))
     shares = {name: F.coalesce(F.col(f"__s_{name}") / total, F.lit(0.0))
               for name in list(DOMAIN_SHARE_COLUMNS.values()) + list(MIX_SHARE_COLUMNS.values())}
@@ -258,7 +273,7 @@ def offer_level(df: DataFrame) -> DataFrame:
         "log_offer_published_revenue": safe_ln("offer_published_revenue"),
         "offer_discount": F.lit(100.0) * (F.lit(1.0) - F.col("offer_expected_revenue") / total),
     })
-    return df.join(g, "offer_id", "left")
+    return df.join(g, OFFER, "left")
 
 
 def log_features(df: DataFrame) -> DataFrame:
@@ -306,25 +321,27 @@ def final_filters(df: DataFrame) -> DataFrame:
 
 
 def opportunity_order(df: DataFrame) -> DataFrame:
-    """W1 + A7 on the (opportunity, offer) aggregate (one row per offer, not
-    per line).  Ties on the creation date break on ``offer_id``.  Returns
-    ``(opportunity_id, offer_id, order_in_oppo, offers_in_oppo)``."""
+    """W1 + A7 on the (organization, opportunity, offer) aggregate (one row per
+    offer, not per line).  Ties on the creation date break on ``offer_id``.
+    Returns ``(organization_id, opportunity_id, offer_id, order_in_oppo,
+    offers_in_oppo)``."""
+    oppo = ["organization_id", "opportunity_id"]
     keyed = df.filter(F.col("opportunity_id").isNotNull() & F.col("offer_id").isNotNull())
-    per_offer = keyed.groupBy("opportunity_id", "offer_id").agg(F.min("created_date_off").alias("__created"))
-    w = Window.partitionBy("opportunity_id").orderBy(F.col("__created").asc_nulls_last(), "offer_id")
-    return per_offer.select("opportunity_id", "offer_id", F.row_number().over(w).alias("order_in_oppo"),
-                            F.count("*").over(Window.partitionBy("opportunity_id")).alias("offers_in_oppo"))
+    per_offer = keyed.groupBy(*oppo, "offer_id").agg(F.min("created_date_off").alias("__created"))
+    w = Window.partitionBy(*oppo).orderBy(F.col("__created").asc_nulls_last(), "offer_id")
+    return per_offer.select(*oppo, "offer_id", F.row_number().over(w).alias("order_in_oppo"),
+                            F.count("*").over(Window.partitionBy(*oppo)).alias("offers_in_oppo"))
 
 
 def final_status(df: DataFrame) -> DataFrame:
-    """Last outcome and discount per (opportunity, product cluster) by
-    creation date (NULL dates last), as a mergeable aggregate.  Returns one
-    row per (opportunity_id, product_cluster_shp)."""
+    """Last outcome and discount per (organization, opportunity, product
+    cluster) by creation date (NULL dates last), as a mergeable aggregate.
+    Returns one row per (organization_id, opportunity_id, product_cluster_shp)."""
     created = F.col("created_date_off")
     order = [created.isNull(), F.coalesce(created, F.lit("1900-01-01").cast("timestamp_ntz")),
              F.col("offer_id"), F.coalesce(F.col("discount_shp"), F.lit(-1.0))]
     keyed = df.filter(F.col("opportunity_id").isNotNull() & F.col("product_cluster_shp").isNotNull())
-    return keyed.groupBy("opportunity_id", "product_cluster_shp").agg(
+    return keyed.groupBy("organization_id", "opportunity_id", "product_cluster_shp").agg(
         last_non_null("outcome", *order).alias("final_outcome"),
         last_non_null("discount_shp", *order).alias("final_discount_shp"))
 
@@ -373,8 +390,8 @@ def build_features(lines: DataFrame, offers: DataFrame, oppo: DataFrame, custome
     df = offer_level(base)
     df = final_filters(map_categoricals(log_features(df), p))
     st = stage(df, "filtered_lines")
-    out = (st.join(opportunity_order(st), ["opportunity_id", "offer_id"], "left")
-             .join(final_status(st), ["opportunity_id", "product_cluster_shp"], "left")
+    out = (st.join(opportunity_order(st), ["organization_id", "opportunity_id", "offer_id"], "left")
+             .join(final_status(st), ["organization_id", "opportunity_id", "product_cluster_shp"], "left")
              .join(revenue_quantiles(st, p.revenue_quantile, p.percentile_accuracy), "organization_id", "left"))
     out = out.withColumns({
         "finality": F.when(F.col("offers_in_oppo") == F.col("order_in_oppo"), "final").otherwise("interim"),

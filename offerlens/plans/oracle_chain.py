@@ -36,29 +36,29 @@ def _ln(x: str) -> str:
 
 
 AUDIT_OUTCOME_SQL = """
-    SELECT offer_id, new_value, old_value, updated_date, sent_out,
+    SELECT organization_id, offer_id, new_value, old_value, updated_date, sent_out,
       CASE WHEN new_value = 'Invalidated' AND coalesce(old_value IN ('Customer Rejected', 'Customer Accepted', 'Offer with Customer'), false) THEN 'Rejected'
            WHEN new_value = 'Invalidated' THEN 'Invalidated Internally'
            WHEN new_value = 'Customer Rejected' THEN 'Rejected'
            WHEN new_value = 'Agreement Created' THEN 'Accepted'
            ELSE 'In Progress' END AS outcome
     FROM (
-      SELECT offer_id,
+      SELECT organization_id, offer_id,
         arg_max(new_value, (updated_date, new_value, old_value)) FILTER (WHERE new_value IS NOT NULL) AS new_value,
         arg_max(old_value, (updated_date, new_value, old_value)) FILTER (WHERE old_value IS NOT NULL) AS old_value,
         arg_max(updated_date, (updated_date, new_value, old_value)) FILTER (WHERE updated_date IS NOT NULL) AS updated_date,
         CASE WHEN count(*) FILTER (WHERE new_value = 'Offer with Customer') > 0
              THEN count(*) FILTER (WHERE new_value = 'Offer with Customer') END AS sent_out
-      FROM (SELECT DISTINCT offer_id, created_date, updated_date, old_value, new_value FROM f_audit) a
+      FROM (SELECT DISTINCT organization_id, offer_id, created_date, updated_date, old_value, new_value FROM f_audit) a
       WHERE offer_id IS NOT NULL
-      GROUP BY offer_id) g
+      GROUP BY organization_id, offer_id) g
     WHERE sent_out IS NOT NULL"""
 
 
 def feature_ctes(outcome_source: str = "orders") -> list[tuple[str, str]]:
-    outcome = ("SELECT offer_id, outcome, sent_out, new_value, old_value FROM f_orders_outcome"
+    outcome = ("SELECT organization_id, offer_id, outcome, sent_out, new_value, old_value FROM f_orders_outcome"
                if outcome_source == "orders" else
-               f"SELECT offer_id, outcome, sent_out, new_value, old_value FROM ({AUDIT_OUTCOME_SQL}) ao")
+               f"SELECT organization_id, offer_id, outcome, sent_out, new_value, old_value FROM ({AUDIT_OUTCOME_SQL}) ao")
     shares_sum = ",\n".join(
         [f"{xsum(f"CASE WHEN product_domain = '{d}' THEN published_revenue_shp END")} AS s_{n}"
          for d, n in DOMAIN_SHARE_COLUMNS.items()]
@@ -113,7 +113,7 @@ def feature_ctes(outcome_source: str = "orders") -> list[tuple[str, str]]:
                  AND o.opportunity_id IS NOT DISTINCT FROM op.opportunity_id
                  AND l.gsfa_customer_id = op.gsfa_customer_id
             LEFT JOIN p_cust c ON l.organization_id = c.organization_id AND l.gsfa_customer_id = c.gsfa_customer_id
-            LEFT JOIN p_outcome oc ON l.offer_id = oc.offer_id"""),
+            LEFT JOIN p_outcome oc ON l.organization_id = oc.organization_id AND l.offer_id = oc.offer_id"""),
         ("e_lines", f"""
             SELECT * FROM (
               SELECT *, {_case('product_cluster_shp', PRODUCT_MIX, PRODUCT_MIX_OTHER)} AS product_mix,
@@ -138,16 +138,16 @@ def feature_ctes(outcome_source: str = "orders") -> list[tuple[str, str]]:
                    THEN e.expected_revenue_shp / g.ex_rate_dom2int ELSE e.expected_revenue_shp END AS expected_revenue_shp)
             FROM e_lines e LEFT JOIN o_orgs g ON e.organization_id = g.organization_id"""),
         ("o_level0", f"""
-            SELECT offer_id,
+            SELECT organization_id, offer_id,
                    coalesce({xsum('expected_revenue_shp')}, 0.0::DOUBLE) AS offer_expected_revenue,
                    coalesce({xsum('published_revenue_shp')}, 0.0::DOUBLE) AS offer_published_revenue,
                    coalesce({xsum('recommended_revenue_shp')}, 0.0::DOUBLE) AS offer_recommended_revenue,
                    count(DISTINCT product_cluster_shp) AS offer_products,
                    max(CAST(selected_pid_name_shp = 'CustomPID' AS INTEGER)) AS has_custom_pid,
                    {shares_sum}
-            FROM c_lines WHERE offer_id IS NOT NULL GROUP BY offer_id"""),
+            FROM c_lines WHERE organization_id IS NOT NULL AND offer_id IS NOT NULL GROUP BY organization_id, offer_id"""),
         ("o_level", f"""
-            SELECT offer_id, offer_expected_revenue, offer_published_revenue, offer_recommended_revenue,
+            SELECT organization_id, offer_id, offer_expected_revenue, offer_published_revenue, offer_recommended_revenue,
                    offer_products, has_custom_pid, {shares},
                    {_ln('offer_published_revenue')} AS log_offer_published_revenue,
                    100.0::DOUBLE * (1.0::DOUBLE - offer_expected_revenue
@@ -170,30 +170,30 @@ def feature_ctes(outcome_source: str = "orders") -> list[tuple[str, str]]:
                    {_vocab('primary_competitor_oppo', fx.COMPETITOR_MAP, 'COMP:OTHER')} AS competitor_oppo,
                    CASE WHEN 'IND:' || substr(coalesce(industry_code_cust, 'NODATA'), 1, 4) <> 'IND:NODA'
                         THEN 'IND:' || substr(coalesce(industry_code_cust, 'NODATA'), 1, 4) END AS industry
-            FROM (SELECT c.*, o.* EXCLUDE (offer_id),
+            FROM (SELECT c.*, o.* EXCLUDE (organization_id, offer_id),
                          CASE WHEN shipments_shp <> 0 THEN shipments_shp END AS sh,
                          CASE WHEN wps_shp <> 0 THEN wps_shp END AS wp,
                          CASE WHEN new_potential_revenue_oppo <> 0 THEN new_potential_revenue_oppo END AS pot,
                          CASE WHEN opportunity_tpr_oppo <> 0 THEN opportunity_tpr_oppo END AS tpr
-                  FROM c_lines c LEFT JOIN o_level o ON c.offer_id = o.offer_id) x"""),
+                  FROM c_lines c LEFT JOIN o_level o ON c.organization_id = o.organization_id AND c.offer_id = o.offer_id) x"""),
         ("f_lines2", """
             SELECT * EXCLUDE (sh, wp, pot, tpr, has_custom_pid) FROM l_lines
             WHERE fraction_other = 0
               AND NOT coalesce(has_custom_pid = 1 AND expected_revenue_shp = 0, false)"""),
         ("w_order", """
-            SELECT opportunity_id, offer_id,
-                   CAST(row_number() OVER (PARTITION BY opportunity_id ORDER BY c ASC NULLS LAST, offer_id) AS INTEGER) AS order_in_oppo,
-                   count(*) OVER (PARTITION BY opportunity_id) AS offers_in_oppo
-            FROM (SELECT opportunity_id, offer_id, min(created_date_off) AS c FROM f_lines2
-                  WHERE opportunity_id IS NOT NULL AND offer_id IS NOT NULL GROUP BY 1, 2) t"""),
+            SELECT organization_id, opportunity_id, offer_id,
+                   CAST(row_number() OVER (PARTITION BY organization_id, opportunity_id ORDER BY c ASC NULLS LAST, offer_id) AS INTEGER) AS order_in_oppo,
+                   count(*) OVER (PARTITION BY organization_id, opportunity_id) AS offers_in_oppo
+            FROM (SELECT organization_id, opportunity_id, offer_id, min(created_date_off) AS c FROM f_lines2
+                  WHERE opportunity_id IS NOT NULL AND offer_id IS NOT NULL GROUP BY 1, 2, 3) t"""),
         ("w_final", """
-            SELECT opportunity_id, product_cluster_shp,
+            SELECT organization_id, opportunity_id, product_cluster_shp,
               arg_max(outcome, (created_date_off IS NULL, coalesce(created_date_off, TIMESTAMP '1900-01-01'), offer_id, coalesce(discount_shp, -1.0::DOUBLE)))
                 FILTER (WHERE outcome IS NOT NULL) AS final_outcome,
               arg_max(discount_shp, (created_date_off IS NULL, coalesce(created_date_off, TIMESTAMP '1900-01-01'), offer_id, coalesce(discount_shp, -1.0::DOUBLE)))
                 FILTER (WHERE discount_shp IS NOT NULL) AS final_discount_shp
             FROM f_lines2 WHERE opportunity_id IS NOT NULL AND product_cluster_shp IS NOT NULL
-            GROUP BY 1, 2"""),
+            GROUP BY 1, 2, 3"""),
         ("w_q", """
             SELECT organization_id, quantile_cont(offer_published_revenue, 0.95) AS q
             FROM (SELECT DISTINCT organization_id, offer_id, offer_published_revenue FROM f_lines2) d
@@ -209,8 +209,8 @@ def feature_ctes(outcome_source: str = "orders") -> list[tuple[str, str]]:
                    discount_shp - (100.0::DOUBLE - 100.0::DOUBLE * recommended_revenue_shp
                        / CASE WHEN published_revenue_shp <> 0 THEN published_revenue_shp END) AS discount_delta
             FROM f_lines2 f
-            LEFT JOIN w_order w ON f.opportunity_id = w.opportunity_id AND f.offer_id = w.offer_id
-            LEFT JOIN w_final s ON f.opportunity_id = s.opportunity_id AND f.product_cluster_shp = s.product_cluster_shp
+            LEFT JOIN w_order w ON f.organization_id = w.organization_id AND f.opportunity_id = w.opportunity_id AND f.offer_id = w.offer_id
+            LEFT JOIN w_final s ON f.organization_id = s.organization_id AND f.opportunity_id = s.opportunity_id AND f.product_cluster_shp = s.product_cluster_shp
             LEFT JOIN w_q q ON f.organization_id = q.organization_id"""),
     ]
 
@@ -219,9 +219,6 @@ def with_features(outcome_source: str = "orders", *extra: tuple[str, str]) -> st
     return fx.fixture_ctes(*feature_ctes(outcome_source), *extra)
 
 
-MASTER_SQL_COLUMNS = None  # filled by registry (same list as plans.master.MASTER_COLUMNS)
-
-
 def master_ctes() -> list[tuple[str, str]]:
     """Master table (keep list + ids, numerics as double), target, modelling
     filter, train/test windows -- as SQL."""

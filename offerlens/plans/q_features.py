@@ -56,12 +56,12 @@ def q_features_chain_audit(spark, sf_dir):
 
 
 @register("audit_outcome", fx.fixture_ctes() + f"""
-    SELECT offer_id, new_value, old_value, updated_date, CAST(sent_out AS BIGINT) AS sent_out, outcome
+    SELECT organization_id, offer_id, new_value, old_value, updated_date, CAST(sent_out AS BIGINT) AS sent_out, outcome
     FROM ({AUDIT_OUTCOME_SQL}) t""")
 def q_audit_outcome(spark, sf_dir):
     """A2 last status per column, A3 sent-out count, A4 outcome rule."""
     o = feat.audit_outcome(fx.offer_audit(spark, sf_dir))
-    return o.select("offer_id", "new_value", "old_value", "updated_date",
+    return o.select("organization_id", "offer_id", "new_value", "old_value", "updated_date",
                     F.col("sent_out").cast("bigint").alias("sent_out"), "outcome")
 
 

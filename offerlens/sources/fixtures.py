@@ -164,12 +164,20 @@ def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _offer_org(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Organization of every offer."""
+    o = read(spark, sf_dir, "orders")
+    c = customer_org(spark, sf_dir)
+    return o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderstatus", _org(F.col("n_name")).alias("organization_id"))
+
+
 def offer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
     e = read(spark, sf_dir, "events")
     status = _case(F.col("event_type"), STATUS_BY_EVENT)
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return e.select(
+    return e.join(_offer_org(spark, sf_dir), F.col("user_id") == F.col("o_orderkey"), "left").select(
+        "organization_id",
         F.col("user_id").alias("offer_id"),
         F.col("ts").alias("created_date"),
         F.col("ts").alias("updated_date"),
@@ -180,8 +188,9 @@ def offer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders")
+    o = _offer_org(spark, sf_dir)
     return o.select(
+        "organization_id",
         F.col("o_orderkey").alias("offer_id"),
         _case(F.col("o_orderstatus"), OUTCOME_BY_ORDERSTATUS, "In Progress").alias("outcome"),
         F.lit(1).cast("bigint").alias("sent_out"),
@@ -214,7 +223,7 @@ def exchange_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
                    (1.0 + k / 10.0).alias("rate_eur_ber"), ((1.0 + k / 10.0) * 1.1).alias("rate_usd_ber"))
     new = n.select(cur.alias("from_currency"), F.lit("2023-07-01").cast("date").alias("bill_per_dt"),
                    (2.0 + k / 10.0).alias("rate_eur_ber"), ((2.0 + k / 10.0) * 1.1).alias("rate_usd_ber"))
-    eur = n.limit(1).select(F.lit("EUR").alias("from_currency"),
+    eur = spark.range(1).select(F.lit("EUR").alias("from_currency"),
                             F.lit("2023-07-01").cast("date").alias("bill_per_dt"),
                             F.lit(1.0).alias("rate_eur_ber"), F.lit(1.1).alias("rate_usd_ber"))
     return old.unionByName(new).unionByName(eur)
@@ -280,17 +289,17 @@ FIXTURE_SQL = {
                r_name AS competitor
         FROM f_custorg""",
     "f_audit": f"""
-        SELECT user_id AS offer_id, ts AS created_date, ts AS updated_date,
+        SELECT fo.organization_id, user_id AS offer_id, ts AS created_date, ts AS updated_date,
                lag({_sql_case('event_type', STATUS_BY_EVENT)}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old_value,
                {_sql_case('event_type', STATUS_BY_EVENT)} AS new_value,
                props AS contactrole
-        FROM events""",
+        FROM events LEFT JOIN f_offers fo ON user_id = fo.offer_id""",
     "f_orders_outcome": f"""
-        SELECT o_orderkey AS offer_id,
+        SELECT 'ORG_' || co.n_name AS organization_id, o_orderkey AS offer_id,
                {_sql_case('o_orderstatus', OUTCOME_BY_ORDERSTATUS, 'In Progress')} AS outcome,
                CAST(1 AS BIGINT) AS sent_out, CAST(NULL AS VARCHAR) AS new_value,
                CAST(NULL AS VARCHAR) AS old_value
-        FROM orders""",
+        FROM orders JOIN f_custorg co ON o_custkey = co.c_custkey""",
     "f_countries": """
         SELECT n_name AS name, 'ORG_' || n_name AS organization_id,
                'N' || CAST(n_nationkey AS VARCHAR) AS code, r_regionkey AS region_code,

@@ -17,6 +17,38 @@ def ts(d):
     return dt.datetime(2024, 1, d)
 
 
+AUDIT = ("organization_id string, offer_id long, created_date timestamp_ntz, updated_date timestamp_ntz, "
+         "old_value string, new_value string, contactrole string")
+
+
+def test_ids_that_two_organizations_share(spark):
+    audit = spark.createDataFrame([
+        ("A", 1, ts(1), ts(1), None, "Offer with Customer", "x"),
+        ("A", 1, ts(2), ts(2), "Offer with Customer", "Agreement Created", "x"),
+        ("B", 1, ts(1), ts(1), None, "Offer with Customer", "x"),
+        ("B", 1, ts(3), ts(3), "Offer with Customer", "Customer Rejected", "x")], AUDIT)
+    outcome = {r["organization_id"]: (r["outcome"], r["sent_out"]) for r in feat.audit_outcome(audit).collect()}
+    assert outcome == {"A": ("Accepted", 1), "B": ("Rejected", 1)}
+
+    lines = spark.createDataFrame([
+        ("A", 1, 7, "TDExport", "TD", "TDExport", "P", 60.0, 50.0, 55.0),
+        ("A", 1, 7, "TDExport", "TD", "TDExport", "P", 40.0, 40.0, 40.0),
+        ("B", 1, 7, "TDImport", "TD", "TDImport", "CustomPID", 300.0, 150.0, 200.0)],
+        "organization_id string, offer_id long, opportunity_id long, product_cluster_shp string, product_domain string, "
+        "product_mix string, selected_pid_name_shp string, published_revenue_shp double, expected_revenue_shp double, "
+        "recommended_revenue_shp double")
+    got = {(r["organization_id"], r["offer_published_revenue"], r["offer_products"], r["has_custom_pid"])
+           for r in feat.offer_level(lines).collect()}
+    assert got == {("A", 100.0, 1, 0), ("B", 300.0, 1, 1)}
+
+    dated = lines.withColumns({"created_date_off": F.lit("2024-01-01").cast("timestamp_ntz"), "discount_shp": F.lit(10.0),
+                               "outcome": F.when(F.col("organization_id") == "A", "Accepted").otherwise("Rejected")})
+    order = {(r["organization_id"], r["order_in_oppo"], r["offers_in_oppo"]) for r in feat.opportunity_order(dated).collect()}
+    assert order == {("A", 1, 1), ("B", 1, 1)}
+    last = {(r["organization_id"], r["final_outcome"]) for r in feat.final_status(dated).collect()}
+    assert last == {("A", "Accepted"), ("B", "Rejected")}
+
+
 def test_audit_outcome_last_non_null_and_rules(spark):
     rows = [
         # offer 1: newest row has a NULL old_value -> last non-null old_value comes from row 2
@@ -35,8 +67,7 @@ def test_audit_outcome_last_non_null_and_rules(spark):
         (5, ts(1), ts(1), None, "Offer with Customer", "x"),
         (5, ts(2), ts(2), "Agreement Created", "Invalidated", "x"),
     ]
-    audit = spark.createDataFrame(rows, "offer_id long, created_date timestamp_ntz, updated_date timestamp_ntz, "
-                                        "old_value string, new_value string, contactrole string")
+    audit = spark.createDataFrame([("O", *r) for r in rows], AUDIT)
     out = {r["offer_id"]: r for r in feat.audit_outcome(audit).collect()}
     assert set(out) == {1, 2, 4, 5}
     assert out[1]["new_value"] == "Invalidated" and out[1]["old_value"] == "Offer with Customer"
