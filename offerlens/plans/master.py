@@ -52,22 +52,24 @@ def feature_table(spark: SparkSession, sf_dir: str, outcome_source: str = "order
                                outcome, orgs, params or FEATURE_PARAMS)
 
 
-def input_fingerprint(sf_dir: str) -> tuple:
-    """Names, sizes and modification times of the input files (a changed
-    input never reuses an old materialized table)."""
-    import os
+def input_fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size, number of files and modification time of every input table
+    (a changed input never reuses an old materialized table), from the file
+    system that holds them, local or remote: one entry per table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     out = []
-    for name in sorted(os.listdir(sf_dir)) if os.path.isdir(sf_dir) else []:
-        st = os.stat(os.path.join(sf_dir, name))
-        out.append((name, st.st_size, int(st.st_mtime)))
-    return tuple(out)
+    for table in fs.listStatus(folder):
+        size = fs.getContentSummary(table.getPath())
+        out.append((table.getPath().getName(), size.getLength(), size.getFileCount(), table.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def stored_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table written once per application to the shared
     checkpoint folder (the reference's per-country master file), read back
     by all downstream stages."""
-    return materialize(spark, ("features", sf_dir, input_fingerprint(sf_dir)),
+    return materialize(spark, ("features", sf_dir, input_fingerprint(spark, sf_dir)),
                        lambda: feature_table(spark, sf_dir))
 
 

@@ -9,6 +9,7 @@ from offerlens.plans.master import rounded
 from offerlens.plans.oracle_chain import rsql, with_modelling
 from offerlens.plans.q_ladder import GAMMAS, SCORER, test_rows
 from offerlens.plans.registry import register
+from offerlens.session import stage
 
 # Three model configurations (name, intercept, discount coefficient).
 CONFIGS = [("cfg_a", -2.0, 0.045), ("cfg_b", -1.5, 0.03), ("cfg_c", -2.5, 0.06)]
@@ -255,7 +256,7 @@ def q_auc_per_config(spark, sf_dir):
 def q_eval_warnings(spark, sf_dir):
     """Warning table (config, warning, score, contribution) from the
     RCR, coverage, AUC, discount and difference checks."""
-    ev = ev_table(spark, sf_dir).persist()
+    ev = stage(ev_table(spark, sf_dir), "evaluation")
     rcr = V.rcr_by_gamma(ev, GAMMAS)
     out = V.warnings_table(rcr, V.auc_per_config(scored_table(spark, sf_dir)), V.discount_checks(ev),
                            V.diff_checks(ev), GAMMAS[1], len(CONFIGS))

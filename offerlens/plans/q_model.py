@@ -17,7 +17,7 @@ from offerlens.operators import model as MD
 from offerlens.plans import master as M
 from offerlens.plans.master import rounded
 from offerlens.plans.registry import register
-from offerlens.session import ensure_checkpoint_dir
+from offerlens.session import ensure_checkpoint_dir, stage
 
 NUMERIC = [c for c in M.NUMERIC if c not in ("discount_shp", "ecomm")]
 LR_CFG = MD.ModelConfig(name="lr_monotone", estimator="logistic", categorical=list(M.CATEGORICAL),
@@ -75,7 +75,7 @@ def q_model_metrics(spark, sf_dir):
     """E1-E3 on the fitted model's test predictions."""
     m = fitted_lr(spark, sf_dir)
     _, test = train_test(spark, sf_dir)
-    p = MD.predict(m, test).persist()
+    p = stage(MD.predict(m, test).select("accepted", "y_pred", "y_pred_proba"), "predictions")
     cm = E.classification_metrics(p, "accepted", "y_pred_proba", "y_pred")
     sc = E.score_curve_metrics(E.score_curves(p, "accepted", ["y_pred_proba"]))
     a = sc.first()
@@ -86,14 +86,15 @@ def q_model_metrics(spark, sf_dir):
 @register("model_recommend")
 def q_model_recommend(spark, sf_dir):
     """J10 + R3 + R6 + W9 with a fitted tree model: explode the 0..99
-    ladder, score it in one pass, group per row id (partial aggregation
-    in the producing task), running maximum for monotonicity."""
+    ladder of the distinct rows, score it in one pass, group per row id
+    (partial aggregation in the producing task), running maximum for
+    monotonicity.  Equal rows share an id and each gets its recommendation."""
     train, test = train_test(spark, sf_dir)
     m = MD.fit(train, GBT_CFG)
     t = test.withColumn("row_id", xxhash_id(*test.columns))
-    long = L.model_ladder(t, lambda d: MD.predict(m, d), "row_id", prob_col="y_pred_proba")
+    long = L.model_ladder(t.dropDuplicates(["row_id"]), lambda d: MD.predict(m, d), "row_id", prob_col="y_pred_proba")
     rec = L.recommend_from_long(long, "row_id", gamma=6, cc_adjustment=0, monotone=True)
-    keys = t.select("row_id", "offer_id", "product_cluster_shp", "discount_shp").dropDuplicates(["row_id"])
+    keys = t.select("row_id", "offer_id", "product_cluster_shp", "discount_shp")
     return keys.join(rec, "row_id").select("offer_id", "product_cluster_shp", "discount_shp", "discount_low",
                                            "discount_high", "discount_opt",
                                            rounded(F.col("rom_exp_rev")).alias("rom_exp_rev"))
