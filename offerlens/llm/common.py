@@ -69,11 +69,10 @@ def connected_components(stages: Stages, edges: DataFrame) -> DataFrame:
     Alternating large-star / small-star rounds: the smallest neighbour is a
     partially aggregated minimum joined back to the edges, so a hub's edges
     can be split between tasks; each round is written to the shared folder.
-    Rounds end when the edge set no longer changes."""
+    Rounds end when every component is a star around its smallest node."""
     cur = stages.put(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                      .distinct(), "edges")
-    state = _digest(cur)
-    while True:
+    while not _stars(cur):
         both = cur.select("a", "b").union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
         large = (both.join(low, F.col("a") == F.col("k")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -84,21 +83,20 @@ def connected_components(stages: Stages, edges: DataFrame) -> DataFrame:
         small = (small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
                  .where("a <> b").distinct())
         nxt = stages.put(small, "small")
-        new = _digest(nxt)
         stages.drop(cur)
         stages.drop(large)
         cur = nxt
-        if new == state:
-            break
-        state = new
     roots = cur.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-def _digest(edges: DataFrame) -> tuple:
-    h = F.xxhash64("a", "b")
-    r = edges.agg(F.count("*"), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).first()
-    return tuple(r)
+def _stars(edges: DataFrame) -> bool:
+    """Whether every upper node of ``edges(a, b)``, a > b, has one lower node
+    that has none itself."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1)))
+    per = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return per.agg(F.count_if(F.expr("up > 1 OR (up = 1 AND down = 1)"))).first()[0] == 0
 
 
 BLOOM_BITS = 24  # 2**24 bits, 2 MB: a fixed size, whatever is put in
@@ -110,22 +108,26 @@ def bloom_places(x: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple((x * np.uint64(c) >> np.uint64(24)) & mask for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
 
-def bloom_filter(keys: DataFrame) -> bytes:
-    """Bloom filter of a column of longs: one bitmap per task, combined in a
-    tree.  What passes is a superset; a fuller filter lets more through."""
+def bloom_filters(keys: DataFrame) -> list[bytes]:
+    """A Bloom filter of each column of longs: one bitmap per task and column,
+    combined in a tree.  What passes is a superset; a fuller filter lets more
+    through."""
+    size, n = 2**BLOOM_BITS, len(keys.columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(2**BLOOM_BITS, bool)
+        bits = np.zeros((n, size), bool)
         for pdf in batches:
-            for at in bloom_places(pdf.iloc[:, 0].to_numpy(np.int64).view(np.uint64)):
-                bits[at] = True
+            for i in range(n):
+                for at in bloom_places(pdf.iloc[:, i].to_numpy(np.int64).view(np.uint64)):
+                    bits[i, at] = True
         if bits.any():
             yield pd.DataFrame({"bits": [np.packbits(bits).tobytes()]})
 
     def either(x: bytes, y: bytes) -> bytes:
         return np.bitwise_or(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)).tobytes()
 
-    return keys.mapInPandas(run, "bits binary").rdd.map(lambda r: bytes(r[0])).treeAggregate(bytes(2**BLOOM_BITS // 8), either, either)
+    all_ = keys.mapInPandas(run, "bits binary").rdd.map(lambda r: bytes(r[0])).treeAggregate(bytes(n * size // 8), either, either)
+    return [all_[i * size // 8:(i + 1) * size // 8] for i in range(n)]
 
 
 def unpack(filter_: bytes) -> np.ndarray:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, bloom_filter, bloom_places, plain, read_table, ship, unpack
+from offerlens.llm.common import Stages, bloom_filters, bloom_places, plain, read_table, ship, unpack
 from offerlens.llm.minhash import WordHashes
 from offerlens.llm.registry import register
 
@@ -131,7 +131,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> Da
     stages = Stages(docs.sparkSession, "winnow")
     items = stages.put(item_windows(benchmark, span), "items")
     spans = sorted(r["span"] for r in items.select("span").distinct().collect())  # at most SPAN lengths
-    bloom = bloom_filter(items.select("fp"))
+    bloom = bloom_filters(items.select("fp"))[0]
     base = stages.put(scan(docs, bloom, spans), "scan")
 
     hits = base.where(F.size("hits") > 0).select("key", F.explode("hits").alias("h")).select("key", "h.*").distinct()

@@ -8,11 +8,12 @@ Used by the document operator (odd sketches) and the paragraph operator.
 3. every band bucket compares its members with one of them, its pivot (a
    star, linear in the bucket), candidates are estimated by their sketches and
    sizes and confirmed on the full sets; confirmed links are closed to
-   components.  The first pivot is the smallest member; the next is the member
-   that shares most buckets with the last pivot, which finds the text that
-   the others were copied from.  Only members of other components are compared;
-   rounds go on while they find links;
-4. then all pairs of a bucket that still are in different components are
+   components.  The pivot is the member that meets most others over all its
+   buckets, the text that the others were copied from;
+4. where buckets still hold many pairs between different components (more than
+   ``SPARSE`` a member on average), they are compared with their next pivot, as
+   long as that finds links;
+5. then all pairs of a bucket that still are in different components are
    compared, so no candidate link between different components is left out.
 """
 
@@ -29,11 +30,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, bloom_filter, connected_components, passing, ship
+from offerlens.llm.common import Stages, bloom_filters, connected_components, passing, ship
 
 ship(__name__)
 
 SIGMAS = 5.0
+SPARSE = 4  # pairs per member that step 5 takes without another pivot
 
 
 def tune_bands(percent: int, recall: float, most: int) -> tuple[int, int]:
@@ -170,8 +172,9 @@ def _confirm(pairs: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataF
         return pd.Series(out)
 
     # sort-merge at every size: texts are shuffled for their own pairs only
-    b = passing(bodies, "id", bloom_filter(pairs.select("b"))).select(F.col("id").alias("b"), F.col("body").alias("body_b"))
-    a = passing(bodies, "id", bloom_filter(pairs.select("a"))).select(F.col("id").alias("a"), F.col("body").alias("body_a"))
+    in_a, in_b = bloom_filters(pairs.select("a", "b"))
+    b = passing(bodies, "id", in_b).select(F.col("id").alias("b"), F.col("body").alias("body_b"))
+    a = passing(bodies, "id", in_a).select(F.col("id").alias("a"), F.col("body").alias("body_a"))
     both = pairs.hint("merge").join(b, "b").hint("merge").join(a, "a")
     return both.where(similar("body_a", "body_b")).select("a", "b").distinct()
 
@@ -187,57 +190,64 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
     one = stages.put(one, "members")
 
     rows_ = one.select("id", F.explode("bands").alias("band"))
-    buckets = rows_.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("top")).where("pivot <> top")
-    buckets = stages.put(buckets.select("band", "pivot"), "buckets")
+    buckets = rows_.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
     member = stages.put(rows_.join(buckets, "band"), "bucket-members")
+    weights = stages.put(member.groupBy("id").agg(F.sum("members").alias("weight")), "weights")
 
     marks = one.select("id", "n", "sketch", sketch_cap(percent, longs, F.col("n").cast("double"), F.col("n") / (percent / 100)).alias("cap"))
 
     def side(df: DataFrame, i: str) -> DataFrame:
         return df.withColumnsRenamed({"id": i, "n": "n_" + i, "cap": "c_" + i, "sketch": "s_" + i})
 
-    def links(pairs: DataFrame, name: str, estimated: bool = False) -> DataFrame:
-        if not estimated:
-            pairs = pairs.join(side(marks, "a"), "a").join(side(marks, "b"), "b").where(may_link(percent, longs)).select("a", "b")
-        p = stages.put(pairs, f"{name}-candidates")
-        return stages.put(_confirm(p, items, n, percent), f"{name}-links")
+    now, comp, found, tested, used = member.select("band", "id", F.col("id").alias("c")), None, None, None, None
+
+    def links(pairs: DataFrame, name: str) -> bool:
+        """Confirm the pairs that were not confirmed or refused before; whether there are new links."""
+        nonlocal tested, found, comp
+        p = stages.put(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, f"{name}-candidates")
+        new = stages.put(_confirm(p, items, n, percent), f"{name}-links")
+        tested = p if tested is None else tested.union(p)
+        if not new.head(1):
+            return False
+        found = new if found is None else found.union(new)
+        comp = stages.put(connected_components(stages, found), "components")
+        return True
 
-    pivots, used, tested, found, comp = buckets, buckets.withColumnRenamed("pivot", "id"), None, None, None
     while True:
-        now = member.select("band", "id")
+        rank = now.join(weights, "id")
+        if used is not None:
+            rank = rank.join(used, ["band", "id"], "left_anti")
+        pivots = rank.groupBy("band").agg(F.max(F.struct("weight", F.negative("id").alias("id"), "c")).alias("p"))
+        pivots = stages.put(pivots.select("band", F.negative("p.id").alias("pivot"), F.col("p.c").alias("pc")), "pivots")
+        last = pivots.select("band", F.col("pivot").alias("id"))
+        used = last if used is None else used.union(last)
+        star = now.join(pivots, "band").where("c <> pc")
+        star = star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+        star = star.join(side(marks, "a"), "a").join(side(marks, "b"), "b").where(may_link(percent, longs)).select("a", "b")
+        new = links(star.distinct(), "star")
         if comp is not None:
-            now = now.join(comp, now["id"] == comp["node"], "left").select("band", "id", F.coalesce("component", "id").alias("c"))
+            now = member.select("band", "id").join(comp, member["id"] == comp["node"], "left").select(
+                "band", "id", F.coalesce("component", "id").alias("c"))
             now = stages.put(now, "bucket-components")
-            mixed = now.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band")
-            now = stages.put(now.join(stages.put(mixed, "mixed-buckets"), "band", "left_semi"), "mixed-members")
-            # the members by the number of buckets that they share with their bucket's last pivot
-            star = now.join(pivots, "band")
-            shared = stages.put(star.groupBy("pivot", "id").agg(F.count("*").alias("shared")), "shared")
-            rank = star.join(shared, ["pivot", "id"]).join(used, ["band", "id"], "left_anti")
-            pivots = rank.groupBy("band").agg(F.max(F.struct("shared", F.negative("id").alias("id"), "c")).alias("p"))
-            pivots = stages.put(pivots.select("band", F.negative("p.id").alias("pivot"), F.col("p.c").alias("pc")), "pivots")
-            used = used.union(pivots.select("band", F.col("pivot").alias("id")))
-            pairs = now.join(pivots, "band").where("c <> pc")
-            pivots = pivots.select("band", "pivot")
-        else:
-            pairs = member.where("id <> pivot")
-        pairs = pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-        pairs = stages.put(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "stars")
-        tested = pairs if tested is None else tested.union(pairs)
-        new = links(pairs, "star")
-        if not new.head(1):
+        # pairs of a bucket's members between different components
+        held = now.groupBy("band", "c").agg(F.count("*").cast("double").alias("k"))
+        held = held.groupBy("band").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("within"),
+                                        F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+        mixed = stages.put(held.select("band", "k", ((F.col("k") * F.col("k") - F.col("within")) / 2).alias("across")),
+                           "mixed-buckets")
+        now = now.join(mixed.select("band"), "band", "left_semi")
+        across, held = mixed.agg(F.sum("across"), F.sum("k")).first()
+        if not new or not held or across <= SPARSE * held:
             break
-        found = new if found is None else found.union(new)
-        comp = stages.put(connected_components(stages, found), "components")
+        now = stages.put(now, "mixed-members")
 
-    now = now if comp is not None else now.withColumn("c", F.col("id"))
-    now = now.select("band", "id", "c").join(marks, "id")
+    now = now.join(marks, "id")
     x, y = (side(now, i).withColumnRenamed("c", "comp_" + i) for i in "ab")
     rest = x.join(y, (x["band"] == y["band"]) & (F.col("comp_a") < F.col("comp_b")) & may_link(percent, longs))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    new = links(rest.join(tested, ["a", "b"], "left_anti"), "rest", estimated=True)
-    found = new if found is None else found.union(new)
-    comp = stages.put(connected_components(stages, found), "components")
+    links(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
 
-    out = sig.select("id", "n", "key").join(reps, "key", "left").join(comp, F.col("rep") == F.col("node"), "left")
-    return out.select("id", "n", F.coalesce("component", "rep", "id").alias("component"))
+    name = reps.select("key", "rep", F.col("rep").alias("component"))
+    if comp is not None:
+        name = reps.join(comp, reps["rep"] == comp["node"], "left").select("key", F.coalesce("component", "rep").alias("component"))
+    out = sig.select("id", "n", "key").join(name.select("key", "component"), "key", "left")
+    return out.select("id", "n", F.coalesce("component", "id").alias("component"))

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, bloom_filter, bloom_places, plain, read_table, ship, unpack
+from offerlens.llm.common import Stages, bloom_filters, bloom_places, plain, read_table, ship, unpack
 from offerlens.llm.registry import register
 
 ship(__name__)
@@ -337,11 +337,11 @@ def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def repeated_windows(stages: Stages, texts: DataFrame) -> DataFrame:
     """``(key, lo, hi)``: runs of starts of repeated windows; ``texts(key, body)``."""
     counts = gram_counts(texts).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    around = stages.put(surroundings(texts, bloom_filter(counts)), "surroundings")
+    around = stages.put(surroundings(texts, bloom_filters(counts)[0]), "surroundings")
     same = stages.put(around.groupBy("h", "c1", "c2").agg(F.count("*").alias("n")), "contexts")
     whole = around.join(same.where("n > 1").select("h", "c1", "c2"), ["h", "c1", "c2"], "left_semi").select("key", "lo", "hi")
     mixed = same.groupBy("h").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).where("contexts > 1 AND least = 1").select("h")
-    parts = stages.put(set_texts(texts, bloom_filter(mixed)), "parts")
+    parts = stages.put(set_texts(texts, bloom_filters(mixed)[0]), "parts")
 
     name = ["s1", "s2", "j", "left", "right"]
     one = parts.groupBy(*name).agg(F.count("*").alias("n"))
