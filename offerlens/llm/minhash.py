@@ -194,10 +194,12 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
     member = stages.put(rows_.join(buckets, "band"), "bucket-members")
     weights = stages.put(member.groupBy("id").agg(F.sum("members").alias("weight")), "weights")
 
-    marks = one.select("id", "n", "sketch", sketch_cap(percent, longs, F.col("n").cast("double"), F.col("n") / (percent / 100)).alias("cap"))
+    def marks_with(*more: str) -> DataFrame:
+        cap = sketch_cap(percent, longs, F.col("n").cast("double"), F.col("n") / (percent / 100))
+        return one.select("id", "n", "sketch", cap.alias("cap"), *more)
 
     def side(df: DataFrame, i: str) -> DataFrame:
-        return df.withColumnsRenamed({"id": i, "n": "n_" + i, "cap": "c_" + i, "sketch": "s_" + i})
+        return df.withColumnsRenamed({"id": i, "n": "n_" + i, "cap": "c_" + i, "sketch": "s_" + i, "bands": "bands_" + i})
 
     now, comp, found, tested, used = member.select("band", "id", F.col("id").alias("c")), None, None, None, None
 
@@ -223,7 +225,7 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
         used = last if used is None else used.union(last)
         star = now.join(pivots, "band").where("c <> pc")
         star = star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-        star = star.join(side(marks, "a"), "a").join(side(marks, "b"), "b").where(may_link(percent, longs)).select("a", "b")
+        star = star.join(side(marks_with(), "a"), "a").join(side(marks_with(), "b"), "b").where(may_link(percent, longs)).select("a", "b")
         new = links(star.distinct(), "star")
         if comp is not None:
             now = member.select("band", "id").join(comp, member["id"] == comp["node"], "left").select(
@@ -241,9 +243,11 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
             break
         now = stages.put(now, "mixed-members")
 
-    now = now.join(marks, "id")
+    now = now.join(marks_with("bands"), "id")
     x, y = (side(now, i).withColumnRenamed("c", "comp_" + i) for i in "ab")
-    rest = x.join(y, (x["band"] == y["band"]) & (F.col("comp_a") < F.col("comp_b")) & may_link(percent, longs))
+    # a pair comes out of the first bucket that it shares
+    first = F.element_at(F.array_intersect("bands_a", "bands_b"), 1) == x["band"]
+    rest = x.join(y, (x["band"] == y["band"]) & (F.col("comp_a") < F.col("comp_b")) & may_link(percent, longs) & first)
     links(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
 
     name = reps.select("key", "rep", F.col("rep").alias("component"))
