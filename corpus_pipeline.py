@@ -9,7 +9,7 @@ one's docs.  All but the last return the columns of ``documents``.
 * ``near_dedup`` keeps the smallest id of every group of near copies
   (five-word shingles, similarity 0.8 or more);
 * ``suffix_dedup`` removes every byte inside a 400-byte string that occurs
-  elsewhere as well (an incomplete character at an edge goes with it); the
+  elsewhere as well (a character cut at an edge goes whole); the
   document stays with what remains;
 * ``benchmark_decontamination`` drops the documents that contain a window of a benchmark
   item;
@@ -57,7 +57,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = remove_repeats(docs.select(*COLUMNS))
-    text = F.when(F.col("n_removed") > 0, F.regexp_replace(F.decode("kept", "utf-8"), "\ufffd", "")).otherwise(F.col("text"))
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return out.withColumn("text", text).withColumn(
         "n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 

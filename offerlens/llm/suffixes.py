@@ -28,7 +28,7 @@ Results in special cases: null and empty texts have no bytes; texts under
 ``SPAN`` bytes lose nothing; equal rows make each other's long strings repeat;
 null ids are ids like any other; an empty table gives an empty result; extra
 columns are ignored.  Remaining bytes may end inside a character: ``kept`` has
-the bytes, and decoding drops what is incomplete.
+the bytes, ``kept_text`` only whole characters, as all bytes of a cut one go.
 """
 
 from __future__ import annotations
@@ -373,9 +373,18 @@ def repeated_windows(stages: Stages, texts: DataFrame) -> DataFrame:
     return whole.union(starts).distinct()
 
 
+def cut_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """The bytes of every UTF-8 character of which a byte is in ``gone``."""
+    character = np.cumsum((data & 0xC0) != 0x80)
+    hit = np.zeros(len(data) + 1, bool)
+    hit[character[gone]] = True
+    return hit[character]
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)`` per row and
-    the row's other columns; ``kept`` are the remaining bytes."""
+    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, kept_text)``
+    per row and the row's other columns; ``kept`` are the remaining bytes,
+    ``kept_text`` the remaining characters (null if nothing is removed)."""
     stages = Stages(docs.sparkSession, "suffixes")
     body = F.coalesce("text", F.lit("")).cast("binary")
     docs = docs.withColumn("key", F.md5(body)).withColumn("body", body)
@@ -383,23 +392,26 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     runs = windows.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))  # of one text
     runs = stages.put(runs.select("key", F.col("runs.lo").alias("los"), F.col("runs.hi").alias("his")), "runs")
 
-    @F.pandas_udf("n_removed long, n_spans long, kept_sha256 string, kept binary")
+    @F.pandas_udf("n_removed long, n_spans long, kept_sha256 string, kept binary, characters binary")
     def cut(bodies: pd.Series, los: pd.Series, his: pd.Series) -> pd.DataFrame:
         out = []
         for b, lo, hi in zip(bodies, los, his):
-            n = spans = 0
+            n, spans, whole = 0, 0, None
             if lo is not None and len(lo):
                 edge = np.zeros(len(b) + 1, np.int32)
                 np.add.at(edge, lo, 1)
                 np.add.at(edge, hi + SPAN, -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 n, spans = int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                b = np.frombuffer(b, np.uint8)[~gone].tobytes()
-            out.append((n, spans, hashlib.sha256(b).hexdigest(), b))
-        return pd.DataFrame(out, columns=["n_removed", "n_spans", "kept_sha256", "kept"])
+                data = np.frombuffer(b, np.uint8)
+                whole = data[~cut_characters(data, gone)].tobytes()
+                b = data[~gone].tobytes()
+            out.append((n, spans, hashlib.sha256(b).hexdigest(), b, whole))
+        return pd.DataFrame(out, columns=["n_removed", "n_spans", "kept_sha256", "kept", "characters"])
 
     out = docs.join(runs, "key", "left").withColumn("cut", cut("body", "los", "his"))
-    return out.withColumn("n_bytes", F.length("body").cast("long")).select("*", "cut.*").drop("key", "body", "los", "his", "cut")
+    out = out.withColumn("n_bytes", F.length("body").cast("long")).select("*", "cut.*").drop("key", "body", "los", "his", "cut")
+    return out.withColumn("kept_text", F.col("characters").cast("string")).drop("characters")
 
 
 @register("op6_suffix_grouping_dedup")

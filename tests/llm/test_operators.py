@@ -201,3 +201,53 @@ def test_pipeline_stages(spark):
     cur = duck(SF_SMALL)
     from offerlens.llm.decontaminate import ORACLE
     assert hit == {r[0] for r in cur.execute(f"SELECT doc_id FROM ({ORACLE}) WHERE contaminated").fetchall()}
+
+
+def test_pipeline_brute_force(spark, tmp_path):
+    """All stages on texts whose repeated passage begins and ends inside an accented character."""
+    import corpus_pipeline as p
+    from offerlens.llm.mixing import mix
+    passage = prose(70, 90)[:500]
+    texts = [(1, prose(71, 60) + "\u00a9" + passage + "\u00e9" + prose(72, 60) + " \ufffd end"),  # c2 a9 ... c3 a9
+             (2, prose(73, 60) + "\u0129" + passage + "\u00e8" + prose(74, 60)),  # c4 a9 ... c3 a8: c4 and a8 would make a letter
+             (3, prose(75, 60) + "\u0169" + passage + "\u00e9" + prose(76, 60)),  # c5 a9 ... c3 a9
+             (4, "\U0001f600" + prose(77, 300)), (5, prose(77, 300).replace("alpha", "other", 1)), (6, prose(78, 50)),
+             (7, prose(79, 20) + " " + prose(80, 20) + " " + prose(81, 20)), (8, ""), (9, None)]
+    item = prose(80, 20)
+    data = [(i, t, "en", f"s{i % 2}", len(t or "")) for i, t in texts]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    shingles = {i: {tuple((t or "").split()[k:k + 5]) for k in range(len((t or "").split()) - 4)} for i, t in texts}
+    left = []
+    for i, t in texts:
+        if not any(j < i and shingles[i] and len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j]) for j in shingles):
+            left.append((i, t))
+    n = collections.Counter((t or "").encode()[k:k + 400] for _, t in left for k in range(len((t or "").encode()) - 399))
+    want, halves = [], 0
+    for i, t in left:
+        b = (t or "").encode()
+        gone = {j for k in range(len(b) - 399) if n[b[k:k + 400]] > 1 for j in range(k, k + 400)}
+        text, at = "", 0
+        for c in t or "":
+            whole = range(at, at + len(c.encode()))
+            halves += 0 < len(gone.intersection(whole)) < len(whole)
+            text += "" if gone.intersection(whole) else c
+            at = whole.stop
+        want.append((i, None if t is None else text))
+    assert [i for i, _ in left] == [1, 2, 3, 4, 6, 7, 8, 9] and halves >= 3
+    assert dict(want)[1].endswith("\ufffd end") and dict(want)[1] != dict(texts)[1]
+
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in p.STAGES[:3]:
+        docs = stage(spark, docs, str(tmp_path))
+    got = docs.collect()
+    assert sorted((r.doc_id, r.text) for r in got) == want
+    assert all(r.n_chars == len(r.text or "") for r in got)
+    clean = [(i, t, "en", f"s{i % 2}", len(t or "")) for i, t in want if item not in (t or "")]
+    assert len(clean) == len(want) - 1
+    final = mix(spark.createDataFrame(clean, docs.schema))
+    out = p.run(spark, str(tmp_path))
+    assert out.columns == final.columns and out.count() > 0
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, final.collect()), key=str)
