@@ -134,6 +134,32 @@ def test_paragraphs(spark, odd, none):
     assert repeated_paragraphs(none).collect() == []
 
 
+def test_passages_brute_force(spark, odd, none):
+    from offerlens.llm.paragraphs import repeated_paragraphs
+    a, b, c = prose(50, 54), prose(51, 160).split(), "\u00e9t\u00e9 " + prose(52, 70)
+    lines = lambda w, n: "\n".join(" ".join(w[i:i + n]) for i in range(0, len(w), n))
+    texts = [(400, prose(53, 90) + " " + a + "  " + prose(54, 95)), (401, a + " odd"),  # within a longer line
+             (402, lines(b, 9)), (403, "Title\n\n" + lines(b[:120], 12) + "\nlast"), (404, lines(b, 9)),  # short lines
+             (405, prose(55, 70) + " " + c), (406, c + " " + prose(56, 80) + "\t" + c + " " + prose(57, 60)),  # twice in a text
+             (407, prose(58, 60) + " " + " ".join(a.split()[:49])), (408, "x y " * 60), (None, lines(b, 7))]
+    docs = spark.createDataFrame(rows(texts), DOCS)
+    seen, want = set(), {}
+    for i, t in texts:
+        w = t.split()
+        gone = set()
+        for k in range(len(w) - 49):
+            if (x := tuple(w[k:k + 50])) in seen:
+                gone.update(range(k, k + 50))
+            seen.add(x)
+        want[i] = [x for k, x in enumerate(w) if k not in gone], len(gone)
+    got = {r.doc_id: r for r in repeated_paragraphs(docs).collect()}
+    assert all(r.n_removed == 0 for r in got.values())
+    assert {i: (r.text.split(), r.n_cut) for i, r in got.items()} == want
+    assert got[401].text == "odd" and got[403].text == "Title\n\n\nlast" and got[400].text == texts[0][1] and got[407].n_cut == 0
+    assert want[404][0] == want[None][0] == [] and want[406][1] == 142
+    assert all(r.n_cut == 0 for r in repeated_paragraphs(odd).collect()) and repeated_paragraphs(none).collect() == []
+
+
 def test_vectors_special_cases(spark):
     from offerlens.llm.itq import near_duplicate_vectors
     r = np.random.default_rng(1)
