@@ -198,6 +198,53 @@ def test_ctw_probabilities(spark, odd, none):
     assert got[4].train_tokens > 0 and score_texts(none).collect() == []
 
 
+def test_ctw_brute_force(spark, monkeypatch):
+    import math
+    from offerlens.llm import ctw
+    monkeypatch.setattr(ctw, "GRAMS", 500)  # many sets of contexts in a task
+    texts = [(i, prose(90 + i % 7, 25) + (" \u00e9t\u00e9" if i % 3 else "") + " and a long ending"[:i]) for i in range(20)] + [(50, "Zebra!"), (51, "")]
+    docs = spark.createDataFrame(rows(texts), DOCS)
+    got = {r.doc_id: r for r in ctw.score_texts(docs, 4).collect()}
+
+    def decisions(body):  # (bits so far, the 7 bytes before, nearest first, bit)
+        past = [0] * 7
+        for x in [*body.encode().lower(), 255]:
+            for k in range(8):
+                yield (1 << k) | (x >> (8 - k)), tuple(past[::-1][:7]), x >> (7 - k) & 1
+            past.append(x)
+
+    n = collections.defaultdict(lambda: [0, 0])
+    below = collections.defaultdict(set)
+    for i, t in texts:
+        if not got[i].held_out:
+            for v, c, b in decisions(t):
+                for d in range(8):
+                    n[v, c[:d]][b] += 1
+                    if d:
+                        below[v, c[:d - 1]].add((v, c[:d]))
+    own = lambda n0, n1: sum(map(math.lgamma, (n0 + 0.5, n1 + 0.5))) - math.lgamma(n0 + n1 + 1) - math.log(math.pi)
+    lw, w = {}, {}
+    for node in sorted(n, key=lambda x: -len(x[1])):
+        e = own(*n[node])
+        if len(node[1]) == 7:
+            lw[node], w[node] = e, 1.0
+        else:
+            lw[node] = np.logaddexp(e, sum(lw[x] for x in below[node])) - math.log(2)
+            w[node] = math.exp(e - math.log(2) - lw[node])
+
+    def one(v, c, d=0):
+        if (v, c[:d]) not in n:
+            return 0.5
+        x = v, c[:d]
+        kt = (n[x][1] + 0.5) / (sum(n[x]) + 1)
+        return w[x] * kt + ((1 - w[x]) * one(v, c, d + 1) if d < 7 else 0)
+
+    assert len({r.held_out for r in got.values()}) == 2
+    for i, t in texts:
+        want = sum(math.log10(p if b else 1 - p) for v, c, b in decisions(t) for p in [one(v, c)])
+        assert got[i].score == pytest.approx(want, rel=1e-6)
+
+
 def test_classifiers(spark, none):
     from offerlens.llm.quality import classify
     from offerlens.llm.toxicity import score_documents
