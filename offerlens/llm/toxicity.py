@@ -140,15 +140,15 @@ def margins(words: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
 
 
 def fit(witnesses: list[str], others: list[str]) -> tuple[np.ndarray, float]:
-    """(weight per subsequence, bias) of the support vector machine.  The
-    negatives nearest to a witness are landmarks beside the witnesses."""
+    """(weight per subsequence, bias) of the support vector machine.  All
+    witnesses are landmarks, beside them as many of the negatives nearest to a
+    witness (``LANDMARKS`` at least)."""
     pos = sorted({p for w in witnesses for p in pieces(w) if len(p) >= P})
     neg = sorted({p for w in others for p in pieces(w) if len(p) >= P} - set(pos))
     if not pos or not neg:
         return np.zeros(ALPHABET**P), LOWEST
-    marks = pos[:LANDMARKS]
-    e_pos = embed(marks)
-    hard = np.argsort(-kernel(neg, e_pos).max(axis=1), kind="stable")[:LANDMARKS]
+    e_pos = embed(pos)
+    hard = np.argsort(-kernel(neg, e_pos).max(axis=1), kind="stable")[:max(LANDMARKS, len(pos))]
     marks = np.concatenate([e_pos, embed([neg[i] for i in hard])])
     kmm = (marks @ marks.T).astype(float)
     val, vec = np.linalg.eigh(kmm)

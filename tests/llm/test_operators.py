@@ -261,6 +261,18 @@ def test_classifiers(spark, none):
         assert f(none, labels).collect() == [] and len(f(docs, labels.limit(0)).collect()) == docs.count()
 
 
+def test_toxicity_landmarks_are_all_witnesses():
+    """Witnesses late in the alphabet count as much as the first 160."""
+    from offerlens.llm import toxicity as t
+    r = random.Random(7)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(7))
+    early, late = sorted({word("abcdefgh") for _ in range(170)}), sorted({word("uvwxyz") for _ in range(30)})
+    weights, bias = t.fit(early + late, [word("ijklmnopqrst") for _ in range(600)])
+    assert len(early) >= t.LANDMARKS
+    assert (t.margins(late, weights, bias) > 0).all() and (t.margins(early, weights, bias) > 0).all()
+    assert (t.margins([word("ijklmnopqrst") for _ in range(100)], weights, bias) < 0).all()
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").cache()
