@@ -17,5 +17,6 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     import importlib
-    for m in ("html", "itq", "paragraphs", "mixing", "ctw", "suffixes", "toxicity", "quality", "decontaminate", "oddsketch"):
+    for m in ("html", "itq", "paragraphs", "mixing", "ctw", "suffixes", "toxicity", "quality", "decontaminate", "oddsketch",
+              "covertree", "periodic", "chat"):
         importlib.import_module(f"offerlens.llm.{m}")
