@@ -1,72 +1,115 @@
-"""Global running sums without funnelling the data into one task.
-
-A bare ``Window.orderBy(x)`` (no partition key) moves every row into a
-single task.  Here the ordered key space is cut into buckets at approximate
-quantiles (a bounded list collected once), running sums are computed inside
-each bucket (``Window.partitionBy(bucket)``, balanced by construction), and
-the bucket offsets -- one row per bucket, a proven size bound -- are
-broadcast back.  The result is exact: the quantiles only decide the cut
-points, never a value.
+"""Global running sums, row positions and exact quantiles without funnelling
+the data into one task.
+
+A bare ``Window.orderBy(x)`` (no partition key) moves every row into a single
+task, and an exact ``percentile`` keeps a whole group in one buffer.  Here the
+input is written once and cut into ranges of its full order key (group, order
+columns, ties, and the row itself, so that even equal keys are split).  The
+number of ranges follows from the number of rows.  Sums run inside a range,
+and one row per (group, range) carries the sum of all ranges before it.  A
+quantile is the value whose run of ranks holds the wanted position.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerlens.session import stage
+
+RANGE_ROWS = 2**20  # rows that a task sorts at most
+SPREAD_ROWS = 2**14  # a range is not made smaller than this for the sake of idle cores
+
+
+def n_ranges(rows: int, cores: int, range_rows: int = RANGE_ROWS) -> int:
+    return max(1, math.ceil(rows / range_rows), min(cores, math.ceil(rows / min(SPREAD_ROWS, range_rows))))
 
-def _bucket_expr(x: str, cuts: list[float]):
-    """Bucket = number of cut points <= x (cuts sorted, distinct)."""
-    if not cuts:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(c)) for c in cuts])
-    return F.aggregate(arr, F.lit(0), lambda acc, c: acc + (c <= F.col(x)).cast("int"))
+
+def key_ranges(df: DataFrame, keys: Sequence[Column | str], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """``df`` written to the shared folder with ``__b``, the number of the
+    range of ``keys`` that a row lies in, and ``__r``, which tells equal keys
+    apart.  Range ``i`` holds smaller keys than range ``i + 1``."""
+    rows = stage(df, "rows")
+    n = n_ranges(rows.count(), df.sparkSession.sparkContext.defaultParallelism, range_rows)
+    rows = rows.withColumn("__r", F.monotonically_increasing_id())
+    return stage(rows.repartitionByRange(n, *keys, "__r").withColumn("__b", F.spark_partition_id()), "ranges")
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                  partition_cols: Sequence[str] = (), descending: bool = False,
-                 n_buckets: int = 256, prefix: str = "cum_",
-                 tie_cols: Sequence = ()) -> DataFrame:
+                 prefix: str = "cum_", tie_cols: Sequence = (), total_prefix: str | None = None,
+                 range_rows: int = RANGE_ROWS) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in the order of
-    ``order_col`` then ``tie_cols`` (equal keys always share a bucket, so a
-    unique ``(order_col, tie_cols)`` gives a deterministic order).
-
-    ``partition_cols`` restart the sums per group (e.g. per model); the
-    bucketing is shared across groups so a big group is still split."""
-    key = F.col(order_col)
-    if dict(df.dtypes)[order_col] in ("timestamp", "timestamp_ntz", "date"):
-        key = F.unix_micros(key.cast("timestamp"))
-    sign = -1.0 if descending else 1.0
-    okey = "__okey"
-    d = df.withColumn(okey, key.cast("double") * F.lit(sign))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    q = d.agg(F.percentile_approx(okey, probs, 10_000).alias("q")).first()["q"] or []
-    cuts = sorted({float(v) for v in q if v is not None})
-    d = d.withColumn("__b", _bucket_expr(okey, cuts))
+    ``order_col`` then ``tie_cols`` (a unique ``(order_col, tie_cols)`` gives
+    a deterministic order).
+
+    ``partition_cols`` restart the sums per group (e.g. per model); a group
+    of any size is spread over ranges.  ``total_prefix`` also adds the sums
+    over the whole group."""
     pcols = list(partition_cols)
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    keys = [order, *tie_cols]
+    d = key_ranges(df, [*pcols, *keys], range_rows)
     totals = d.groupBy(*pcols, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    wt = Window.partitionBy(*pcols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*pcols, "__b", *[F.coalesce(F.sum(f"__t_{c}").over(wt), F.lit(0)).alias(f"__o_{c}")
-                                             for c in sum_cols])
-    # one row per (group, bucket): bounded by n_buckets x groups
-    d = d.join(F.broadcast(offsets), [*pcols, "__b"], "left")
-    w = (Window.partitionBy(*pcols, "__b").orderBy(okey, *tie_cols)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumns({f"{prefix}{c}": F.col(f"__o_{c}") + F.sum(c).over(w) for c in sum_cols})
-    return d.drop(okey, "__b", *[f"__o_{c}" for c in sum_cols])
-
-
-def row_index(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequence[str] = (),
-              n_buckets: int = 256) -> DataFrame:
-    """0-based global row index in ``order_cols`` order (F13/F14 folds):
-    count rows per distinct key, running sum over keys, rank inside a key."""
+    group = Window.partitionBy(*pcols)  # one row per range of a group
+    before = group.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*pcols, "__b", *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in sum_cols],
+                            *[F.sum(f"__t_{c}").over(group).alias(f"__s_{c}") for c in sum_cols])
+    w = Window.partitionBy(*pcols, "__b").orderBy(*keys, "__r").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumns({f"__w_{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in sum_cols})
+    d = _same(d, offsets, [*pcols, "__b"])
+    d = d.withColumns({f"{prefix}{c}": F.col(f"__o_{c}") + F.col(f"__w_{c}") for c in sum_cols})
+    if total_prefix is not None:
+        d = d.withColumns({f"{total_prefix}{c}": F.col(f"__s_{c}") for c in sum_cols})
+    return d.drop("__b", "__r", *[f"__{k}_{c}" for k in "osw" for c in sum_cols])
+
+
+def _same(d: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys, null keys included."""
+    small = small.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in small.columns if c not in keys])
+    cond = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    return d.join(small, cond).drop(*[f"__k_{k}" for k in keys])
+
+
+def row_index(df: DataFrame, order_cols: Sequence[Column | str], partition_cols: Sequence[str] = (),
+              range_rows: int = RANGE_ROWS, name: str = "row_index") -> DataFrame:
+    """0-based row position in ``order_cols`` order, per group of
+    ``partition_cols``; rows that share all of these get positions next to
+    each other."""
     pcols = list(partition_cols)
-    k = order_cols[0]
-    counts = df.groupBy(*pcols, k).agg(F.count("*").alias("__n"))
-    counts = running_sums(counts, k, ["__n"], pcols, n_buckets=n_buckets, prefix="__cum")
-    w = Window.partitionBy(*pcols, k).orderBy(*order_cols)
-    d = df.join(counts, [*pcols, k], "left")
-    d = d.withColumn("row_index", F.col("__cum__n") - F.col("__n") + F.row_number().over(w) - 1)
-    return d.drop("__n", "__cum__n")
+    d = key_ranges(df, [*pcols, *order_cols], range_rows)
+    counts = d.groupBy(*pcols, "__b").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(*pcols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*pcols, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
+    w = Window.partitionBy(*pcols, "__b").orderBy(*order_cols, "__r")
+    d = _same(d.withColumn("__i", F.row_number().over(w)), offsets, [*pcols, "__b"])
+    return d.withColumn(name, F.col("__o") + F.col("__i") - 1).drop("__b", "__r", "__i", "__o")
+
+
+def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float],
+                    count_col: str | None = None, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """``(group..., quantiles)``: exact quantiles of the non-null values of a
+    group, interpolated between the two ranks around ``p * (n - 1)``; groups
+    without values have no row.  A row stands for ``count_col`` equal values.
+
+    Equal values are counted first; the counts' running sums give the ranks
+    that a value holds, so no buffer grows with a group."""
+    g = list(group_cols)
+    n = F.lit(1) if count_col is None else F.col(count_col)
+    counts = (df.select(*g, F.col(value_col).cast("double").alias("__v"), n.alias("__n")).filter(F.col("__v").isNotNull())
+              .groupBy(*g, "__v").agg(F.sum("__n").alias("__n")))
+    c = running_sums(counts, "__v", ["__n"], g, prefix="__cum", total_prefix="__all", range_rows=range_rows)
+    first, last = F.col("__cum__n") - F.col("__n"), F.col("__cum__n") - 1
+    picks = []
+    for i, p in enumerate(probs):
+        at = F.lit(float(p)) * (F.col("__all__n") - 1)
+        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            picks.append(F.max(F.when((first <= rank) & (rank <= last), F.col("__v"))).alias(f"__{side}{i}"))
+        picks.append(F.max(at - F.floor(at)).alias(f"__f{i}"))
+    q = c.groupBy(*g).agg(*picks)
+    values = [F.when(F.col(f"__lo{i}") == F.col(f"__hi{i}"), F.col(f"__lo{i}"))
+              .otherwise((1 - F.col(f"__f{i}")) * F.col(f"__lo{i}") + F.col(f"__f{i}") * F.col(f"__hi{i}")) for i in range(len(probs))]
+    return q.select(*g, F.array(*values).alias("quantiles"))

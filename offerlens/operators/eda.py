@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerlens.functions.running import running_sums
+from offerlens.functions.running import exact_quantiles, running_sums
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -31,13 +31,16 @@ def _unpivot_string(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()
 
 def numeric_summary(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation),
-    max per numeric column -- one aggregation for all columns."""
+    max per numeric column -- one aggregation for all columns, the quartiles
+    by rank over ranges of (column, value)."""
     u = _unpivot_numeric(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    arr = F.array(*[F.lit(q) for q in QUARTILES])
-    qs = F.percentile("value", arr) if accuracy is None else F.percentile_approx("value", arr, accuracy)
+    if accuracy is None:
+        qs = exact_quantiles(u, ["column"], "value", QUARTILES)
+    else:
+        qs = u.groupBy("column").agg(F.percentile_approx("value", F.array(*[F.lit(q) for q in QUARTILES]), accuracy).alias("quantiles"))
     g = u.groupBy("column").agg(F.count("*").alias("count"), F.avg("value").alias("mean"),
-                                F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-                                qs.alias("__q"), F.max("value").alias("max"))
+                                F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    g = g.join(F.broadcast(qs.withColumnRenamed("quantiles", "__q")), "column")  # one row per column
     return g.select("column", "count", "mean", "std", "min",
                     F.col("__q")[0].alias("p25"), F.col("__q")[1].alias("p50"),
                     F.col("__q")[2].alias("p75"), "max")
@@ -75,7 +78,7 @@ def histograms(df: DataFrame, cols: Sequence[str], n_bins: int = 10) -> DataFram
     (the max falls in the last bin)."""
     u = _unpivot_numeric(df, cols).filter(F.col("value").isNotNull())
     rng = u.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    u = u.join(rng, "column")  # one row per column: AQE broadcasts it
+    u = u.join(F.broadcast(rng), "column")  # one row per column
     width = (F.col("hi") - F.col("lo")) / F.lit(float(n_bins))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(n_bins - 1))).cast("int")
@@ -89,7 +92,7 @@ def value_frequencies(df: DataFrame, cols: Sequence[str], normalize: bool = True
     u = _unpivot_string(df, cols)
     vc = u.groupBy("column", "value").agg(F.count("*").alias("n"))
     if normalize:
-        vc = vc.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("column")))
+        vc = vc.withColumn("share", F.col("n") / F.lit(float(df.count())))  # every row counts once per column
     return vc
 
 
@@ -110,14 +113,15 @@ def anova(df: DataFrame, value_cols: Sequence[str], group_col: str) -> DataFrame
         F.col("value").isNotNull() & F.col(group_col).isNotNull())
     g = u.groupBy("column", group_col).agg(F.count("*").alias("n"), F.avg("value").alias("m"),
                                            F.var_samp("value").alias("v"))
-    w = Window.partitionBy("column")  # one row per (column, group): tiny
-    g = g.withColumn("gm", F.sum(F.col("n") * F.col("m")).over(w) / F.sum("n").over(w))
+    mean = g.groupBy("column").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("gm"))
+    g = g.join(F.broadcast(mean), "column")  # one row per column
     t = g.groupBy("column").agg(
         F.count("*").alias("k"), F.sum("n").alias("N"),
         F.sum(F.col("n") * (F.col("m") - F.col("gm")) * (F.col("m") - F.col("gm"))).alias("ss_between"),
         F.sum(F.coalesce(F.col("v") * (F.col("n") - 1), F.lit(0.0))).alias("ss_within"))
-    f = (F.col("ss_between") / (F.col("k") - 1)) / (F.col("ss_within") / (F.col("N") - F.col("k")))
-    return t.select("column", "k", "N", "ss_between", "ss_within", F.when(F.col("k") > 1, f).alias("f_stat"),
+    # undefined (NULL) for one group, constant groups, or as many groups as rows
+    f = F.try_divide(F.try_divide("ss_between", F.col("k") - 1), F.try_divide("ss_within", F.col("N") - F.col("k")))
+    return t.select("column", "k", "N", "ss_between", "ss_within", f.alias("f_stat"),
                     (F.col("k") - 1).alias("df_between"), (F.col("N") - F.col("k")).alias("df_within"))
 
 
@@ -144,7 +148,7 @@ def _chi2_from_cells(cells: DataFrame, keys: Sequence[str], x: str, y: str, yate
     first_y = F.row_number().over(Window.partitionBy(*k, y).orderBy(x)) == 1
     c = c.withColumns({"__e": e, "__fx": first_x, "__fy": first_y})
     g = c.groupBy(*k).agg(
-        (F.sum(F.col("o") * F.col("o") / F.col("__e")) - F.first("__n")).alias("chi2_raw"),
+        (F.sum(F.col("o").cast("double") * F.col("o") / F.col("__e")) - F.first("__n")).alias("chi2_raw"),
         F.first(F.abs(F.col("o") - F.col("__e"))).alias("__dd"),
         F.sum(F.when(F.col("__fx"), F.lit(1.0) / F.col("__r"))).alias("__sr"),
         F.sum(F.when(F.col("__fy"), F.lit(1.0) / F.col("__c"))).alias("__sc"),
@@ -204,10 +208,10 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def group_quartiles(df: DataFrame, value_col: str, group_col: str) -> DataFrame:
     """Box-plot quartiles per group (plus min/max)."""
-    arr = F.array(*[F.lit(q) for q in QUARTILES])
+    q = exact_quantiles(df, [group_col], value_col, QUARTILES).select(F.col(group_col).alias("__g"), F.col("quantiles").alias("__q"))
     g = df.filter(F.col(value_col).isNotNull()).groupBy(group_col).agg(
-        F.min(value_col).alias("min"), F.percentile(F.col(value_col).cast("double"), arr).alias("__q"),
-        F.max(value_col).alias("max"), F.count("*").alias("n"))
+        F.min(value_col).alias("min"), F.max(value_col).alias("max"), F.count("*").alias("n"))
+    g = g.join(q, F.col(group_col).eqNullSafe(F.col("__g")))
     return g.select(group_col, "min", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
                     F.col("__q")[2].alias("q3"), "max", "n")
 

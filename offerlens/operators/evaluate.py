@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerlens.functions.running import exact_quantiles, running_sums
 from offerlens.operators import ladder as L
+from offerlens.session import stage
 
 # Fixed values of the reference's evaluation notebook.
 EPSILONS = [0.2, 0.5, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 14, 16]
@@ -76,24 +78,34 @@ def interval_size_histogram(ev: DataFrame, gammas: Sequence[int]) -> DataFrame:
 
 def interval_size_stats(ev: DataFrame, gammas: Sequence[int], q: float = 0.97) -> DataFrame:
     """Mean and upper quantile of the interval size per (config, gamma)."""
-    g = gamma_long(ev, gammas, ["config"]).withColumn("size", F.col("high") - F.col("low"))
-    return g.groupBy("config", "gamma").agg(F.avg("size").alias("mean_size"),
-                                            F.percentile(F.col("size"), F.lit(q)).alias("q_size"))
+    g = gamma_long(ev, gammas, ["config"]).groupBy("config", "gamma", (F.col("high") - F.col("low")).alias("size")).agg(F.count("*").alias("__k"))
+    g = stage(g, "interval_sizes")  # at most steps x gammas x configs rows
+    mean = g.groupBy("config", "gamma").agg((F.sum(F.col("size") * F.col("__k")) / F.sum(F.when(F.col("size").isNotNull(), F.col("__k")))).alias("mean_size"))
+    qs = exact_quantiles(g, ["config", "gamma"], "size", [q], count_col="__k")
+    return mean.join(qs, ["config", "gamma"], "left").select("config", "gamma", "mean_size", F.col("quantiles")[0].alias("q_size"))
 
 
 def _sq(x: Column) -> Column:
     return x * x
 
 
+def _medians(ev: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Exact median of each value per config, one row per config."""
+    long = ev.select("config", F.explode(F.array(*[F.struct(F.lit(k).alias("name"), v.cast("double").alias("value"))
+                                                  for k, v in values.items()])).alias("__m")).select("config", "__m.name", "__m.value")
+    m = exact_quantiles(long, ["config", "name"], "value", [0.5])
+    return m.groupBy("config").agg(*[F.max(F.when(F.col("name") == k, F.col("quantiles")[0])).alias(k) for k in values])
+
+
 def discount_checks(ev: DataFrame) -> DataFrame:
     """Share of near-zero discounts (real vs recommended), medians,
     warnings and scores."""
+    ev = stage(ev.select("config", "real_discount", "rom_discount"), "discounts")
     g = ev.groupBy("config").agg(
         F.count("*").alias("n"),
         F.sum((F.col("real_discount") < ZERO_DISCOUNT_BELOW).cast("long")).alias("real0"),
-        F.sum((F.col("rom_discount") < ZERO_DISCOUNT_BELOW).cast("long")).alias("rom0"),
-        F.median("real_discount").alias("real_median"),
-        F.median(F.col("rom_discount").cast("double")).alias("rom_median"))
+        F.sum((F.col("rom_discount") < ZERO_DISCOUNT_BELOW).cast("long")).alias("rom0"))
+    g = g.join(_medians(ev, {"real_median": F.col("real_discount"), "rom_median": F.col("rom_discount")}), "config", "left")
     g = g.withColumns({"real0_pct": F.col("real0") / F.col("n") * 100,
                        "rom0_pct": F.col("rom0") / F.col("n") * 100,
                        "med_diff": F.bround(F.abs(F.col("real_median") - F.col("rom_median")), 0)})
@@ -111,12 +123,11 @@ def diff_checks(ev: DataFrame) -> DataFrame:
     """Recommended - real discount by outcome: medians per class,
     0.1 % / 99.9 % limits, share of large negative differences, scores."""
     d = F.col("rom_diff")
-    g = ev.groupBy("config").agg(
-        F.median(F.when(F.col("accepted") == 0, d)).alias("med0"),
-        F.median(F.when(F.col("accepted") == 1, d)).alias("med1"),
-        F.percentile(d, F.lit(0.001)).alias("q001"),
-        F.percentile(d, F.lit(0.999)).alias("q999"),
-        (F.sum((d < -LARGE_DIFF_THRESHOLD).cast("long")) / F.count("*") * 100).alias("large_diff_pct"))
+    ev = stage(ev.select("config", "accepted", "rom_diff"), "differences")
+    g = ev.groupBy("config").agg((F.sum((d < -LARGE_DIFF_THRESHOLD).cast("long")) / F.count("*") * 100).alias("large_diff_pct"))
+    q = exact_quantiles(ev, ["config"], "rom_diff", [0.001, 0.999])
+    g = (g.join(_medians(ev, {"med0": F.when(F.col("accepted") == 0, d), "med1": F.when(F.col("accepted") == 1, d)}), "config", "left")
+         .join(q.select("config", F.col("quantiles")[0].alias("q001"), F.col("quantiles")[1].alias("q999")), "config", "left"))
     m0, m1 = F.col("med0"), F.col("med1")
     c0, c1 = (m0 < -5), (m1 > 5)
     c20, c21 = (m0 > 19), (m1 < -13)
@@ -186,6 +197,12 @@ def within_score(within: Column) -> Column:
     return s
 
 
+def _scaled(value: str, best: str) -> Column:
+    """Gain over the real RCR as a percentage of the best gain; undefined
+    (NULL) if the best equals the real one."""
+    return F.try_divide(F.col(value) - F.col("rcr_real"), F.col(best) - F.col("rcr_real")) * 100
+
+
 def best_config(rcr: DataFrame) -> DataFrame:
     """RCR scaled between the real RCR and the best config's mean RCR,
     plus the coverage penalty; the best config is flagged."""
@@ -194,7 +211,7 @@ def best_config(rcr: DataFrame) -> DataFrame:
     w = Window.partitionBy()  # config table: one row per config
     per = per.withColumn("rcr_max", F.max("rcr_mean").over(w))
     per = per.withColumns({
-        "rcr_score": (F.col("rcr_mean") - F.col("rcr_real")) / (F.col("rcr_max") - F.col("rcr_real")) * 100,
+        "rcr_score": _scaled("rcr_mean", "rcr_max"),
         "within": F.col("within_n") / F.col("n") * 100})
     per = per.withColumn("within_score", within_score(F.col("within")))
     per = per.withColumn("score", F.col("rcr_score") + F.col("within_score"))
@@ -207,7 +224,7 @@ def best_gamma(rcr: DataFrame, config: str) -> DataFrame:
     r = rcr.filter(F.col("config") == config)
     w = Window.partitionBy()
     r = r.withColumn("__max", F.max("rcr").over(w))
-    r = r.withColumns({"rcr_score": (F.col("rcr") - F.col("rcr_real")) / (F.col("__max") - F.col("rcr_real")) * 100,
+    r = r.withColumns({"rcr_score": _scaled("rcr", "__max"),
                        "within": F.col("n_within") / F.col("n") * 100})
     r = r.withColumn("within_score", within_score(F.col("within")))
     r = r.withColumn("score", F.col("rcr_score") + F.col("within_score"))
@@ -241,16 +258,13 @@ def warnings_table(rcr: DataFrame, auc: DataFrame, disc: DataFrame, diff: DataFr
 
 def auc_per_config(scored: DataFrame) -> DataFrame:
     """AUC per config from grouped scores (mid-rank), via running sums."""
-    from offerlens.functions.running import running_sums
     g = scored.groupBy("config", F.col("pred").alias("score")).agg(
         F.sum(F.col("accepted").cast("long")).alias("pos"),
         F.sum((F.lit(1) - F.col("accepted")).cast("long")).alias("neg"))
     g = running_sums(g, "score", ["neg"], ["config"])  # inclusive ascending
-    tot = g.groupBy("config").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    g = g.join(F.broadcast(tot), "config")
     term = F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.lit(0.5) * F.col("neg"))
-    return g.groupBy("config").agg(
-        F.when((F.first("P") > 0) & (F.first("N") > 0), F.sum(term) / (F.first("P").cast("double") * F.first("N"))).alias("auc"))
+    pos, neg = F.sum("pos"), F.sum("neg")
+    return g.groupBy("config").agg(F.when((pos > 0) & (neg > 0), F.sum(term) / (pos.cast("double") * neg)).alias("auc"))
 
 
 def logloss_rcr_correlation(scored: DataFrame, rcr: DataFrame, eps: float = 1e-15) -> DataFrame:

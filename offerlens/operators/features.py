@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from offerlens.functions.exprs import (add_suffix, bool_int, days_between, discount_pct,
                                        exact_decimal_sum, last_non_null, lookup, lower_columns, nullif_zero,
                                        safe_ln, vocab_map)
+from offerlens.functions.running import exact_quantiles
 from offerlens.functions.sizing import checked_broadcast
 
 # Product mix and domain vocabularies of the reference.
@@ -350,9 +351,10 @@ def revenue_quantiles(df: DataFrame, quantile: float = 0.95, accuracy: int | Non
     """W4 edges: quantile of the distinct (offer, offer revenue) pairs per
     organization (one row per organization)."""
     pairs = df.select("organization_id", "offer_id", "offer_published_revenue").dropDuplicates()
-    x = F.col("offer_published_revenue")
-    q = (F.percentile(x, F.lit(quantile)) if accuracy is None
-         else F.percentile_approx(x, F.lit(quantile), F.lit(accuracy)))
+    if accuracy is None:
+        q = exact_quantiles(pairs, ["organization_id"], "offer_published_revenue", [quantile])
+        return q.select("organization_id", F.col("quantiles")[0].alias("__q"))
+    q = F.percentile_approx(F.col("offer_published_revenue"), F.lit(quantile), F.lit(accuracy))
     return pairs.groupBy("organization_id").agg(q.cast("double").alias("__q"))
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from offerlens.functions.running import row_index
 from offerlens.operators import eda as D
 from offerlens.operators import prep
 from offerlens.operators import folds as FO
@@ -343,5 +342,3 @@ def q_ordered_holdout(spark, sf_dir):
     return h.groupBy("role").agg(F.count("*").alias("n"), F.min("created_date_off").alias("first_date"),
                                  F.max("created_date_off").alias("last_date"))
 
-
-_ = row_index  # re-exported helper used by folds
