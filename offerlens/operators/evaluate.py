@@ -8,7 +8,8 @@ is one narrow pass, not a join.  Every check is a ``groupBy(config, ...)``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,20 @@ def rom_eval_configs(df: DataFrame, scorer: L.LogisticScorer,
     return ev
 
 
+def rom_eval_models(df: DataFrame, models: Mapping[str, L.Scorer], gammas: Sequence[int] = L.DEFAULT_GAMMAS,
+                    keep: Sequence[str] = (), monotone: bool = False) -> DataFrame:
+    """R7 with several scorers, fitted models among them, one config each."""
+    parts = [L.recommendation_eval(df.withColumn("config", F.lit(n)), s, gammas, keep=["config", *keep], monotone=monotone)
+             for n, s in models.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def scored_models(df: DataFrame, models: Mapping[str, L.Scorer], keep: Sequence[str] = ()) -> DataFrame:
+    """Classification table per scorer: probability at the real discount."""
+    parts = [s.score(df, "pred").select(F.lit(n).alias("config"), *keep, "accepted", "pred") for n, s in models.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def scored_configs(df: DataFrame, scorer: L.LogisticScorer,
                    configs: Sequence[tuple[str, float, float]], keep: Sequence[str] = ()) -> DataFrame:
     """Classification table per config: probability at the real discount."""

@@ -1,21 +1,20 @@
 """What-if discount ladder, optimum and recommendation (R2-R9, W6, W9, A10,
 J9, J10, P18).
 
-Two execution shapes:
-
-* closed-form scorer (a column expression of the discount): the whole
-  ladder of a row is an array built with higher-order functions on that row
-  -- no explode, no shuffle, no row id;
-* any fitted Spark ML model: ``explode(sequence)`` -> one ``transform`` pass
-  for all steps -> group by row id.  The rows of one offer are produced in
-  one task, so the partial aggregate collapses the ladder to one row before
-  the shuffle.
+The whole ladder of a row is an array built with higher-order functions on
+that row -- no explode, no shuffle, no row id.  The scorer is a closed form or
+a fitted model compiled to column expressions (``compiled.CompiledModel``).
+For models that cannot be compiled there is the other shape:
+``explode(sequence)`` -> one ``transform`` pass for all steps -> group by row
+id, where the rows of one offer are produced in one task, so the partial
+aggregate collapses the ladder to one row before the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +26,15 @@ DEFAULT_GAMMAS = (2, 4, 6, 8, 10)
 # Scorers
 # ---------------------------------------------------------------------------
 
+class Scorer(Protocol):
+    """What the ladder needs of a model: closed forms (``LogisticScorer``)
+    and fitted models (``compiled.CompiledModel``) alike."""
+
+    def curve(self, df: DataFrame, values: Sequence[float], name: str) -> DataFrame: ...
+
+    def score(self, df: DataFrame, name: str) -> DataFrame: ...
+
+
 @dataclass
 class LogisticScorer:
     """P(accept) = sigmoid(b0 + b_d * discount + sum(b_j * coalesce(x_j, fill_j))).
@@ -58,6 +66,19 @@ class LogisticScorer:
         configurations in one pass (a config struct per exploded row)."""
         return self.prob_from_base(self.base_logit(intercept), discount, discount_coef)
 
+    def curve(self, df: DataFrame, values: Sequence[float], name: str, intercept: Column | None = None,
+              discount_coef: Column | None = None) -> DataFrame:
+        """Adds the array ``name`` of P(accept) at each discount of
+        ``values``.  The row part of the logit is a plain column; the per-step
+        lambda is a few nodes."""
+        out = df.withColumn("__z0", self.base_logit(intercept))
+        at = F.array(*[F.lit(float(v)) for v in values])
+        return out.withColumn(name, F.transform(at, lambda d: self.prob_from_base(F.col("__z0"), d, discount_coef))).drop("__z0")
+
+    def score(self, df: DataFrame, name: str, discount_col: str = "discount_shp") -> DataFrame:
+        """Adds P(accept) at the row's own discount."""
+        return df.withColumn(name, self.prob(F.col(discount_col)))
+
     def sql_prob(self, discount: str, intercept: str | None = None,
                  discount_coef: str | None = None) -> str:
         b0 = f"{self.intercept!r}::DOUBLE" if intercept is None else intercept
@@ -92,15 +113,10 @@ def _interval(ds: Column, revs: Column, thr: Column) -> Column:
     return F.filter(ds, lambda d: F.element_at(revs, d + 1) > thr)
 
 
-def _ladder_arrays(df: DataFrame, scorer: LogisticScorer, n_steps: int, monotone: bool,
-                   intercept: Column | None = None, discount_coef: Column | None = None) -> DataFrame:
+def _ladder_arrays(df: DataFrame, scorer: Scorer, n_steps: int, monotone: bool, **coefs: Column | None) -> DataFrame:
     """Adds ``__p`` (probabilities), ``__r`` (expected revenue per step),
-    ``__mx`` (its maximum) and ``__opt`` (first arg-max).  The row part of
-    the logit is a plain column; the per-step lambda is a few nodes."""
-    ds = F.sequence(F.lit(0), F.lit(n_steps - 1))
-    out = df.withColumn("__z0", scorer.base_logit(intercept))
-    out = out.withColumn("__p", F.transform(
-        ds, lambda d: scorer.prob_from_base(F.col("__z0"), d.cast("double"), discount_coef)))
+    ``__mx`` (its maximum) and ``__opt`` (first arg-max)."""
+    out = scorer.curve(df, range(n_steps), "__p", **coefs)
     if monotone:
         out = out.withColumn("__p", running_max(F.col("__p")))
     out = out.withColumn("__r", F.transform(
@@ -117,7 +133,7 @@ def _with_interval(df: DataFrame, gamma: float, name: str, n_steps: int) -> Data
     return df.withColumn(name, F.filter(ds, lambda d: F.element_at(F.col("__r"), d + 1) > thr))
 
 
-def recommend(df: DataFrame, scorer: LogisticScorer, gamma: float = 6, cc_adjustment: int = 0,
+def recommend(df: DataFrame, scorer: Scorer, gamma: float = 6, cc_adjustment: int = 0,
               discount_col: str = "discount_shp", n_steps: int = 100,
               monotone: bool = False) -> DataFrame:
     """R5 + R6 per row: expected revenue ``(1 - d/100) * P(d)`` on 0..99,
@@ -131,7 +147,7 @@ def recommend(df: DataFrame, scorer: LogisticScorer, gamma: float = 6, cc_adjust
         "discount_opt_wo_adj": F.col("__opt").cast("int"),
     })
     out = out.withColumn("discount_opt", F.least(F.lit(97), F.col("discount_opt_wo_adj") + F.lit(cc_adjustment)))
-    return out.drop("__z0", "__p", "__r", "__mx", "__opt", "__i")
+    return out.drop("__p", "__r", "__mx", "__opt", "__i")
 
 
 def running_max(arr: Column) -> Column:
@@ -143,16 +159,15 @@ def running_max(arr: Column) -> Column:
         acc, F.array(F.greatest(x.cast("double"), F.coalesce(F.try_element_at(acc, F.lit(-1)), x.cast("double"))))))
 
 
-def recommendation_eval(df: DataFrame, scorer: LogisticScorer,
+def recommendation_eval(df: DataFrame, scorer: Scorer,
                         gammas: Sequence[int] = DEFAULT_GAMMAS,
                         discount_col: str = "discount_shp", target_col: str = "accepted",
-                        n_steps: int = 100, keep: Sequence[str] = (),
-                        intercept: Column | None = None,
-                        discount_coef: Column | None = None) -> DataFrame:
+                        n_steps: int = 100, keep: Sequence[str] = (), monotone: bool = False,
+                        **coefs: Column | None) -> DataFrame:
     """R7 (+P18, J9): per test row the optimum, its probability and expected
     revenue, low/mid/high for every gamma, published and realised revenue,
     and the difference to the real discount.  One row in, one row out."""
-    out = _ladder_arrays(df, scorer, n_steps, False, intercept, discount_coef)
+    out = _ladder_arrays(df, scorer, n_steps, monotone, **coefs)
     for g in gammas:
         out = _with_interval(out, g, f"__i{g}", n_steps)
     cols = {
@@ -179,15 +194,11 @@ def recommendation_eval(df: DataFrame, scorer: LogisticScorer,
     return out.withColumn("rom_diff", F.col("rom_discount") - F.col("real_discount"))
 
 
-def ladder_long(df: DataFrame, scorer: LogisticScorer, keep: Sequence[str],
+def ladder_long(df: DataFrame, scorer: Scorer, keep: Sequence[str],
                 n_steps: int = 100) -> DataFrame:
     """The long ladder ``(keep..., discount, prob, exp_rev)`` of the
     given rows (narrow explode of a per-row array)."""
-    ds = F.sequence(F.lit(0), F.lit(n_steps - 1))
-    feats = [c for c in scorer.coefs if c not in keep]
-    out = df.select(*keep, *feats, F.explode(ds).alias("discount"))
-    p = scorer.prob(F.col("discount").cast("double"))
-    out = out.withColumn("prob", p).drop(*feats)
+    out = scorer.curve(df, range(n_steps), "__p").select(*keep, F.posexplode("__p").alias("discount", "prob"))
     return out.withColumn("exp_rev", (F.lit(1.0) - F.col("discount") / F.lit(100.0)) * F.col("prob"))
 
 
@@ -195,7 +206,7 @@ def ladder_long(df: DataFrame, scorer: LogisticScorer, keep: Sequence[str],
 # Current-generation simulation (ladder on the feature)
 # ---------------------------------------------------------------------------
 
-def simulate_discount_effect(df: DataFrame, scorer: LogisticScorer, revenue_col: str,
+def simulate_discount_effect(df: DataFrame, scorer: Scorer, revenue_col: str,
                              min_discount: float = 0.0, max_discount: float = 1.0,
                              price_steps: float = 0.1, unit: str = "percent") -> DataFrame:
     """For every step override the discount feature, score, and compute
@@ -205,10 +216,8 @@ def simulate_discount_effect(df: DataFrame, scorer: LogisticScorer, revenue_col:
     (percent), ``sim_prob``, ``sim_revenue`` aligned by step."""
     steps = ladder_steps(min_discount, max_discount, price_steps)
     ds = F.array(*[F.lit(s) for s in steps])
-    feat = (lambda d: d.cast("double") / F.lit(100.0)) if unit == "fraction" else (lambda d: d.cast("double"))
-    out = df.withColumn("__z0", scorer.base_logit())
-    probs = F.transform(ds, lambda d: scorer.prob_from_base(F.col("__z0"), feat(d)))
-    out = out.withColumns({"sim_discount": ds, "sim_prob": probs}).drop("__z0")
+    out = scorer.curve(df, [s / 100.0 if unit == "fraction" else float(s) for s in steps], "sim_prob")
+    out = out.withColumn("sim_discount", ds)
     rev = F.col(revenue_col)
     return out.withColumn("sim_revenue", F.transform(
         F.arrays_zip(F.col("sim_discount"), F.col("sim_prob")),
