@@ -87,6 +87,15 @@ def exact_decimal_sum(c) -> Column:
     return F.sum(col(c).cast("decimal(38,10)"))
 
 
+def pearson(x, y) -> Column:
+    """Aggregate: correlation of the rows where both are known; NULL where one
+    of them is constant (``corr`` fails there)."""
+    x, y = col(x).cast("double"), col(y).cast("double")
+    var_x, var_y = F.var_pop(F.when(y.isNotNull(), x)), F.var_pop(F.when(x.isNotNull(), y))
+    differ = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))  # merged variances of a constant are not exactly 0
+    return F.when(differ, F.try_divide(F.covar_pop(x, y), F.sqrt(var_x) * F.sqrt(var_y)))
+
+
 def bool_int(cond: Column) -> Column:
     """Boolean -> 0/1 with NULL treated as false (pandas comparison rule)."""
     return F.coalesce(cond, F.lit(False)).cast("int")

@@ -2,19 +2,20 @@
 
 Every all-column statistic is computed in one pass over an unpivoted
 table (one aggregation for all columns), never one job per column.
-p-values need distribution functions Spark SQL lacks; they are computed on
-the driver from the few aggregated statistics (``pvalue_*``).
+p-values are column expressions (``functions.stats``).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerlens.functions.exprs import pearson
 from offerlens.functions.running import exact_quantiles, running_sums
+from offerlens.functions.stats import chi2_survival, f_survival
+from offerlens.session import stage
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -99,7 +100,7 @@ def value_frequencies(df: DataFrame, cols: Sequence[str], normalize: bool = True
 def numeric_target_correlations(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of each numeric column with a numeric target,
     one aggregation."""
-    row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols])
+    row = df.agg(*[pearson(c, target).alias(c) for c in cols])
     arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("corr")) for c in cols])
     return row.select(F.explode(arr).alias("__c")).select("__c.column", "__c.corr")
 
@@ -109,10 +110,22 @@ def anova(df: DataFrame, value_cols: Sequence[str], group_col: str) -> DataFrame
     groups of ``group_col`` (NULL groups/values dropped).  Between and
     within sums of squares come from group means and group variances
     (numerically stable, no difference of large sums)."""
-    u = _unpivot_numeric(df, value_cols, keep=[group_col]).filter(
-        F.col("value").isNotNull() & F.col(group_col).isNotNull())
-    g = u.groupBy("column", group_col).agg(F.count("*").alias("n"), F.avg("value").alias("m"),
-                                           F.var_samp("value").alias("v"))
+    u = _unpivot_numeric(df, value_cols, keep=[group_col]).withColumnRenamed(group_col, "__g")
+    return _anova(u)
+
+
+def anova_by_category(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
+    """The same for a numeric target across the groups of each
+    categorical column."""
+    u = _unpivot_string(df.withColumn("__v", F.col(target).cast("double")), cols, keep=["__v"])
+    return _anova(u.select("column", F.col("value").alias("__g"), F.col("__v").alias("value")))
+
+
+def _anova(u: DataFrame) -> DataFrame:
+    """One row per ``column`` of ``u(column, __g, value)``."""
+    u = u.filter(F.col("value").isNotNull() & F.col("__g").isNotNull())
+    g = u.groupBy("column", "__g").agg(F.count("*").alias("n"), F.avg("value").alias("m"),
+                                       F.var_samp("value").alias("v"))
     mean = g.groupBy("column").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("gm"))
     g = g.join(F.broadcast(mean), "column")  # one row per column
     t = g.groupBy("column").agg(
@@ -121,8 +134,9 @@ def anova(df: DataFrame, value_cols: Sequence[str], group_col: str) -> DataFrame
         F.sum(F.coalesce(F.col("v") * (F.col("n") - 1), F.lit(0.0))).alias("ss_within"))
     # undefined (NULL) for one group, constant groups, or as many groups as rows
     f = F.try_divide(F.try_divide("ss_between", F.col("k") - 1), F.try_divide("ss_within", F.col("N") - F.col("k")))
-    return t.select("column", "k", "N", "ss_between", "ss_within", f.alias("f_stat"),
-                    (F.col("k") - 1).alias("df_between"), (F.col("N") - F.col("k")).alias("df_within"))
+    t = t.select("column", "k", "N", "ss_between", "ss_within", f.alias("f_stat"),
+                 (F.col("k") - 1).alias("df_between"), (F.col("N") - F.col("k")).alias("df_within"))
+    return t.withColumn("p_value", f_survival(F.col("f_stat"), F.col("df_between"), F.col("df_within")))
 
 
 def contingency_table(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
@@ -165,7 +179,8 @@ def contingency_chi2(df: DataFrame, cols: Sequence[str], target: str, yates: boo
     categorical target (Yates' continuity correction on 2x2 tables, as the
     reference's library does by default)."""
     cells = contingency_table(df, cols, target)
-    return _chi2_from_cells(cells, ["column"], "value", "target", yates).drop("chi2_raw")
+    c = _chi2_from_cells(cells, ["column"], "value", "target", yates).drop("chi2_raw")
+    return c.withColumn("p_value", chi2_survival(F.col("chi2"), F.col("dof")))
 
 
 def cramers_v(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -179,9 +194,14 @@ def cramers_v(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     cells = parts[0]
     for p in parts[1:]:
         cells = cells.unionByName(p)
+    return _cramers_v(cells)
+
+
+def _cramers_v(cells: DataFrame) -> DataFrame:
+    """``(a, b, cramers_v)`` of ``cells(a, b, x, y, o)``."""
     g = _chi2_from_cells(cells, ["a", "b"], "x", "y", yates=False)
     phi2 = F.col("chi2") / F.col("n")
-    n1 = F.col("n") - 1
+    n1 = F.when(F.col("n") > 1, F.col("n") - 1)
     phi2c = F.greatest(F.lit(0.0), phi2 - (F.col("r") - 1) * (F.col("c") - 1) / n1)
     rc = F.col("r") - (F.col("r") - 1) * (F.col("r") - 1) / n1
     cc = F.col("c") - (F.col("c") - 1) * (F.col("c") - 1) / n1
@@ -200,12 +220,58 @@ def correlation_ratio(df: DataFrame, cat_col: str, num_cols: Sequence[str]) -> D
 def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """D6 numeric-numeric upper triangle in one aggregation."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
+    row = df.agg(*[pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
     arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}|{b}`").alias("r"))
                     for a, b in pairs])
     return row.select(F.explode(arr).alias("__p")).select("__p.a", "__p.b", "__p.r")
 
 
+def association_matrix(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """Association of every column pair, ``(a, b, kind, value)`` of the
+    upper triangle: Pearson for two numeric columns, bias-corrected Cramer's V
+    for two categorical ones, the correlation ratio for one of each.  Rows
+    with a NULL in the pair are left out.
+
+    Pearson is one aggregation.  All else comes from one grouped pass: a row
+    counts once per categorical column (with the moments of all numeric ones)
+    and once per pair of them; the groups are categories, not rows."""
+    pairs = lower_tri(categorical)
+    text = lambda c: F.col(c).cast("string")
+    cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(None).cast("string").alias("b"), text(a).alias("x"), F.lit(None).cast("string").alias("y"))
+                      for a in categorical],
+                    *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), text(a).alias("x"), text(b).alias("y")) for a, b in pairs])
+    rows = df.select(F.struct(*[F.col(c).cast("double").alias(c) for c in numeric]).alias("v"), F.explode(cells).alias("c")).select("v", "c.*")
+    rows = rows.filter(F.col("x").isNotNull() & (F.col("b").isNull() | F.col("y").isNotNull()))
+    single = lambda c: F.when(F.col("b").isNull(), F.col("v")[c])
+    g = rows.groupBy("a", "b", "x", "y").agg(
+        F.count("*").alias("o"), *[f(single(c)).alias(f"{k}__{c}") for c in numeric
+                                   for k, f in (("n", F.count), ("m", F.avg), ("v", F.var_samp))])
+    g = stage(g, "associations")
+    nominal = _cramers_v(g.filter("b IS NOT NULL").select("a", "b", "x", "y", "o")).select(
+        "a", "b", F.lit("cramers_v").alias("kind"), F.col("cramers_v").alias("value"))
+    long = g.filter("b IS NULL").select("a", F.explode(F.array(*[F.struct(
+        F.lit(c).alias("b"), F.col(f"n__{c}").alias("n"), F.col(f"m__{c}").alias("m"), F.col(f"v__{c}").alias("v")) for c in numeric])).alias("__n"))
+    long = long.select("a", "__n.*").filter("n > 0")
+    mean = long.groupBy("a", "b").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("gm"))
+    ss = long.join(F.broadcast(mean), ["a", "b"]).groupBy("a", "b").agg(  # one row per pair
+        F.sum(F.col("n") * (F.col("m") - F.col("gm")) * (F.col("m") - F.col("gm"))).alias("between"),
+        F.sum(F.coalesce(F.col("v") * (F.col("n") - 1), F.lit(0.0))).alias("within"))
+    total = F.col("between") + F.col("within")
+    mixed = ss.select("a", "b", F.lit("correlation_ratio").alias("kind"),
+                      F.when(total > 0, F.sqrt(F.col("between") / total)).otherwise(F.lit(0.0)).alias("value"))
+    linear = pearson_matrix(df, numeric).select("a", "b", F.lit("pearson").alias("kind"), F.col("r").alias("value"))
+    return nominal.unionByName(mixed).unionByName(linear)
+
+
+def overview(df: DataFrame) -> DataFrame:
+    """One row per column: its type, the number of rows and columns, and
+    how many values are not NULL."""
+    row = df.agg(F.count("*").alias("__rows"), *[F.count(F.col(c)).alias(c) for c in df.columns])
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.col(c).alias("n_values")) for c, t in df.dtypes])
+    return row.select(F.col("__rows").alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"), F.explode(arr).alias("__o")).select(
+        "__o.column", "__o.type", "n_rows", "n_columns", "__o.n_values")
+
+
 def group_quartiles(df: DataFrame, value_col: str, group_col: str) -> DataFrame:
     """Box-plot quartiles per group (plus min/max)."""
     q = exact_quantiles(df, [group_col], value_col, QUARTILES).select(F.col(group_col).alias("__g"), F.col("quantiles").alias("__q"))
@@ -267,96 +333,30 @@ def accepted_discount_by_group(df: DataFrame, group_col: str = "organization_id"
     return df.filter(F.col(target) == 1).groupBy(group_col).agg(F.avg(discount).alias("mean_discount"))
 
 
-# ---------------------------------------------------------------------------
-# p-values on the driver (a handful of aggregated statistics)
-# ---------------------------------------------------------------------------
-
-def _betacf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
-    h = d
-    for m in range(1, 300):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
-        c = 1.0 + aa / (c if abs(c) > 1e-300 else 1e-300)
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
-        c = 1.0 + aa / (c if abs(c) > 1e-300 else 1e-300)
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < 1e-15:
-            break
-    return h
-
-
-def _betainc(a: float, b: float, x: float) -> float:
-    if x <= 0:
-        return 0.0
-    if x >= 1:
-        return 1.0
-    lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-    front = math.exp(lbeta + a * math.log(x) + b * math.log(1 - x))
-    if x < (a + 1) / (a + b + 2):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1 - x) / b
-
-
-def pvalue_f(f: float, d1: float, d2: float) -> float:
-    """Survival function of the F distribution."""
-    if f is None or d1 <= 0 or d2 <= 0:
-        return float("nan")
-    return _betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
-
-
-def pvalue_chi2(x: float, k: float) -> float:
-    """Survival function of the chi-square distribution (regularized upper
-    incomplete gamma by series / continued fraction)."""
-    if x is None or k <= 0:
-        return float("nan")
-    a, xx = k / 2.0, x / 2.0
-    if xx <= 0:
-        return 1.0
-    gln = math.lgamma(a)
-    if xx < a + 1:
-        s, term, n = 1.0 / a, 1.0 / a, a
-        for _ in range(1000):
-            n += 1
-            term *= xx / n
-            s += term
-            if abs(term) < abs(s) * 1e-15:
-                break
-        return 1.0 - s * math.exp(-xx + a * math.log(xx) - gln)
-    b, c, d = xx + 1 - a, 1e300, 1.0 / (xx + 1 - a)
-    h = d
-    for i in range(1, 1000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
-        c = b + an / (c if abs(c) > 1e-300 else 1e-300)
-        de = d * c
-        h *= de
-        if abs(de - 1) < 1e-15:
-            break
-    return math.exp(-xx + a * math.log(xx) - gln) * h
-
-
-def eda_report(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-               target: str | None = None, include_bivariate: bool = True) -> dict[str, DataFrame]:
-    """Report composition -- a dict of lazy result tables."""
-    out = {"numeric_summary": numeric_summary(df, numeric),
-           "categorical_summary": categorical_summary(df, categorical),
-           "missing_values": missing_values(df),
-           "histograms": histograms(df, numeric),
-           "frequencies": value_frequencies(df, categorical)}
-    if target and include_bivariate:
-        out["anova"] = anova(df, numeric, target)
-        out["chi2"] = contingency_chi2(df, categorical, target)
+def eda_report(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str | None = None,
+               include_data_overview: bool = True, include_data_quality_summary: bool = True,
+               include_univariate_analysis: bool = True, include_association_analysis: bool = True,
+               include_bivariate_analysis: bool = True) -> dict[str, DataFrame]:
+    """Report composition by flags -- a dict of lazy result tables.  The
+    target's type chooses the bivariate tables: correlations and ANOVA across
+    categories for a numeric one, ANOVA by class and chi-square otherwise."""
+    out: dict[str, DataFrame] = {}
+    if include_data_overview:
+        out |= {"overview": overview(df), "numeric_summary": numeric_summary(df, numeric),
+                "categorical_summary": categorical_summary(df, categorical)}
+    if include_data_quality_summary:
+        out["missing_values"] = missing_values(df)
+    if include_univariate_analysis:
+        out |= {"histograms": histograms(df, numeric), "frequencies": value_frequencies(df, categorical)}
+    if include_association_analysis:
+        out["associations"] = association_matrix(df, numeric, categorical)
+    if target and include_bivariate_analysis:
+        others, cats = [c for c in numeric if c != target], [c for c in categorical if c != target]
+        if dict(df.dtypes)[target] in ("string", "boolean"):
+            out |= {"anova": anova(df, others, target), "contingency": contingency_table(df, cats, target),
+                    "chi2": contingency_chi2(df, cats, target)}
+        else:
+            out |= {"target_correlation": numeric_target_correlations(df, target, others), "anova": anova_by_category(df, target, cats)}
     return out
 
 
@@ -369,7 +369,3 @@ def scatter_sample(df: DataFrame, x: str, y: str, n: int = 1000, seed: int = 0,
 
 def lower_tri(cols: Sequence[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-
-
-def col_or(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerlens.functions.exprs import pearson
 from offerlens.functions.running import exact_quantiles, running_sums
 from offerlens.operators import ladder as L
 from offerlens.session import stage
@@ -289,7 +290,7 @@ def logloss_rcr_correlation(scored: DataFrame, rcr: DataFrame, eps: float = 1e-1
     ll = scored.groupBy("config").agg(F.avg(-(y * F.ln(p) + (1 - y) * F.ln(1 - p))).alias("logloss"))
     r = rcr.groupBy("config").agg(F.avg("rcr").alias("rcr"))
     j = ll.join(r, "config")
-    return j.agg(F.corr("logloss", "rcr").alias("corr"),
+    return j.agg(pearson("logloss", "rcr").alias("corr"),
                  F.regr_slope("rcr", "logloss").alias("slope"),
                  F.regr_intercept("rcr", "logloss").alias("intercept"),
                  F.count("*").alias("n_configs"))

@@ -3,6 +3,9 @@ master table."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.operators import eda as D
@@ -12,6 +15,7 @@ from offerlens.plans import master as M
 from offerlens.plans.master import rounded
 from offerlens.plans.oracle_chain import md5_unit_sql, rsql, with_features, with_modelling
 from offerlens.plans.registry import register
+from offerlens.session import stage
 
 NUM = ["discount_shp", "log_published_revenue", "log_potential_revenue", "log_shipments",
        "log_weight", "prod_mix_tdexport", "ecomm"]
@@ -95,6 +99,25 @@ def q_eda_target_correlation(spark, sf_dir):
                                             [c for c in NUM if c != "ecomm"]), {"corr"})
 
 
+def _simpson_sql(f: str, upper: str, n: int = 20000) -> str:
+    """Integral of ``f(t)`` from 0 to ``upper`` by Simpson's rule."""
+    return (f"(SELECT sum(CASE WHEN i IN (0, {n}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * ({f})) * ({upper}) / {3 * n} "
+            f"FROM (SELECT i, ({upper}) * i / {n} AS t FROM range(0, {n + 1}) r(i)) g)")
+
+
+def _f_survival_sql(f: str, d1: str, d2: str) -> str:
+    """P(F > f) by numerical integration of the beta density over an angle."""
+    a, b = f"(({d2}) / 2.0)", f"(({d1}) / 2.0)"
+    pdf = (f"2 * exp((2 * {a} - 1) * ln(greatest(sin(t), 1e-300)) + (2 * {b} - 1) * ln(greatest(cos(t), 1e-300)) "
+           f"+ lgamma({a} + {b}) - lgamma({a}) - lgamma({b}))")
+    return _simpson_sql(pdf, f"asin(sqrt(({d2}) / (({d2}) + ({d1}) * {f})))")
+
+
+def _chi2_survival_sql(x: str, k: str) -> str:
+    pdf = f"2 * exp((({k}) - 1) * ln(greatest(t, 1e-300)) - t * t / 2 - (({k}) / 2.0) * ln(2) - lgamma(({k}) / 2.0))"
+    return f"1 - {_simpson_sql(pdf, f'least(sqrt({x}), 60.0)')}"
+
+
 def _anova_sql(src: str, cols, group: str, digits: int | None = 4) -> str:
     def rs(x):
         return rsql(x, digits) if digits is not None else x
@@ -102,7 +125,8 @@ def _anova_sql(src: str, cols, group: str, digits: int | None = 4) -> str:
     return f"""
     SELECT "column", k, "N", {rs('ssb')} AS ss_between, {rs('ssw')} AS ss_within,
            {rs('CASE WHEN k > 1 THEN (ssb / (k - 1)) / (ssw / ("N" - k)) END')} AS f_stat,
-           k - 1 AS df_between, "N" - k AS df_within
+           k - 1 AS df_between, "N" - k AS df_within,
+           {rs(_f_survival_sql('(ssb / (k - 1)) / (ssw / ("N" - k))', 'k - 1', '"N" - k')) if digits is not None else 'NULL'} AS p_value
     FROM (SELECT "column", count(*) AS k, CAST(sum(n) AS BIGINT) AS "N",
                  sum(n * (m - gm) * (m - gm)) AS ssb, sum(coalesce(var_samp_g * (n - 1), 0)) AS ssw
           FROM (SELECT g1.*, sum(n * m) OVER (PARTITION BY "column") / sum(n) OVER (PARTITION BY "column") AS gm
@@ -115,14 +139,23 @@ def _anova_sql(src: str, cols, group: str, digits: int | None = 4) -> str:
 def q_eda_anova(spark, sf_dir):
     """One-way ANOVA F of each numeric column by the target class."""
     a = D.anova(targeted(spark, sf_dir), NUM, "accepted")
-    return _r(a, {"ss_between", "ss_within", "f_stat"}, 4)
+    return _r(a, {"ss_between", "ss_within", "f_stat", "p_value"}, 4)
 
 
-def eda_anova_pvalues(spark, sf_dir):
-    """D4 / D5 p-values (driver-side F survival function on the few rows)."""
-    rows = D.anova(targeted(spark, sf_dir), NUM, "accepted").collect()
-    data = [(r["column"], r["f_stat"], D.pvalue_f(r["f_stat"], r["df_between"], r["df_within"])) for r in rows]
-    return spark.createDataFrame(data, "column string, f_stat double, p_value double")
+@register("eda_numeric_target", with_modelling() + _union(
+    [f"""SELECT '{c}' AS "column", 'correlation' AS test, {rsql(f'corr(CAST({c} AS DOUBLE), discount_shp)', 4)} AS statistic,
+                CAST(NULL AS DOUBLE) AS p_value FROM targeted""" for c in NUM if c not in ("discount_shp", "ecomm")]
+    + [f"""SELECT '{c}' AS "column", 'anova' AS test, f_stat AS statistic, p_value FROM
+           ({_anova_sql('targeted', ['discount_shp'], c)}) x""" for c in CAT]))
+def q_eda_numeric_target(spark, sf_dir):
+    """A numeric target (the discount): correlation with the numeric
+    columns, ANOVA F and p-value across each categorical column."""
+    t = targeted(spark, sf_dir)
+    corr = D.numeric_target_correlations(t, "discount_shp", [c for c in NUM if c not in ("discount_shp", "ecomm")])
+    anova = D.anova_by_category(t, "discount_shp", CAT)
+    return _r(corr.select("column", F.lit("correlation").alias("test"), F.col("corr").alias("statistic"), F.lit(None).cast("double").alias("p_value"))
+              .unionByName(anova.select("column", F.lit("anova").alias("test"), F.col("f_stat").alias("statistic"), "p_value")),
+              {"statistic", "p_value"}, 4)
 
 
 def _chi2_sql(cells: str, keys: str, x: str, y: str, yates: bool) -> str:
@@ -148,12 +181,13 @@ _CHI_CELLS = _union(f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value,
 
 
 @register("eda_chi2", with_modelling() + f"""
-    SELECT "column", {rsql('chi2', 4)} AS chi2, r, c, n, dof FROM ({_chi2_sql(_CHI_CELLS, '"column"', 'value', 'target', True)}) x""")
+    SELECT "column", {rsql('chi2', 4)} AS chi2, r, c, n, dof, {rsql(_chi2_survival_sql('chi2', 'dof'))} AS p_value FROM ({_chi2_sql(_CHI_CELLS, '"column"', 'value', 'target', True)}) x""")
 def q_eda_chi2(spark, sf_dir):
     """Chi-square of each categorical column against the target class."""
     t = targeted(spark, sf_dir).withColumn("accepted", F.col("accepted").cast("string"))
     c = D.contingency_chi2(t, [c for c in CAT if c != "final_outcome"], "accepted")
-    return _r(c.select("column", "chi2", "r", "c", "n", "dof"), {"chi2"}, 4)
+    c = c.select("column", rounded(F.col("chi2"), 4).alias("chi2"), "r", "c", "n", "dof", "p_value")
+    return _r(c, {"p_value"})
 
 
 @register("eda_contingency", with_modelling() + f"SELECT \"column\", value, target, o FROM ({_CHI_CELLS}) x")
@@ -178,6 +212,69 @@ def q_eda_cramers_v(spark, sf_dir):
     return _r(D.cramers_v(targeted(spark, sf_dir), _PAIRS), {"cramers_v"})
 
 
+ALL_NUMERIC, ALL_CATEGORICAL = [c for c in M.NUMERIC], [c for c in M.CATEGORICAL]
+
+
+def _cramers_sql(cells: str) -> str:
+    return f"""
+      SELECT a, b, CASE WHEN den > 0 THEN sqrt(phi2c / den) END AS v FROM (
+        SELECT a, b, greatest(0.0, chi2 / n - (r - 1) * (c - 1) / (n - 1.0)) AS phi2c,
+               least(r - (r - 1) * (r - 1) / (n - 1.0) - 1, c - (c - 1) * (c - 1) / (n - 1.0) - 1) AS den
+        FROM ({_chi2_sql(cells, 'a, b', 'x', 'y', False)}) t) u"""
+
+
+_ALL_CELLS = _union(f"""SELECT '{a}' AS a, '{b}' AS b, CAST({a} AS VARCHAR) AS x, CAST({b} AS VARCHAR) AS y, count(*) AS o
+                        FROM targeted WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2, 3, 4"""
+                    for a, b in D.lower_tri(ALL_CATEGORICAL))
+
+
+@register("eda_associations", with_modelling() + f"""
+    SELECT a, b, 'cramers_v' AS kind, {rsql('v', 4)} AS value FROM ({_cramers_sql(_ALL_CELLS)}) c UNION ALL """ + _union(
+    [f"""SELECT '{a}' AS a, "column" AS b, 'correlation_ratio' AS kind,
+                {rsql('CASE WHEN ss_between + ss_within > 0 THEN sqrt(ss_between / (ss_between + ss_within)) ELSE 0.0 END', 4)} AS value
+         FROM ({_anova_sql('targeted', ALL_NUMERIC, a, None)}) t""" for a in ALL_CATEGORICAL]
+    + [f"""SELECT '{a}' AS a, '{b}' AS b, 'pearson' AS kind,
+                  {rsql(f'(CASE WHEN min({a}) < max({a}) AND min({b}) < max({b}) THEN corr({a}, {b}) END)', 4)} AS value FROM targeted"""
+       for a, b in D.lower_tri(ALL_NUMERIC)]))
+def q_eda_associations(spark, sf_dir):
+    """The association matrix of all 25 features, upper triangle."""
+    return _r(D.association_matrix(targeted(spark, sf_dir), ALL_NUMERIC, ALL_CATEGORICAL), {"value"}, 4)
+
+
+@register("eda_overview", with_modelling() + "SELECT * FROM (" + _union(
+    f"""SELECT '{c}' AS "column", count(*) AS n_rows, {len(MISSING_COLS)} AS n_columns, count({c}) AS n_values FROM targeted"""
+    for c in MISSING_COLS) + ") t")
+def q_eda_overview(spark, sf_dir):
+    """Rows, columns and known values."""
+    return D.overview(targeted(spark, sf_dir).select(*MISSING_COLS)).drop("type")
+
+
+def _section(name: str, sql: str) -> str:
+    return f"SELECT '{name}' AS section, ({sql}) AS n_rows"
+
+
+@register("eda_report", with_modelling() + _union([
+    _section("overview", f"SELECT {len(set(NUM) | set(CAT))}"), _section("numeric_summary", f"SELECT {len(NUM)}"),
+    _section("categorical_summary", f"SELECT {len(CAT)}"),
+    _section("missing_values", "SELECT count(*) FROM (" + _union(f"SELECT count(*) - count({c}) AS n FROM targeted" for c in sorted(set(NUM) | set(CAT))) + ") t WHERE n > 0"),
+    _section("frequencies", "SELECT sum(n)::BIGINT FROM (" + _union(f"SELECT count(DISTINCT {c}) + (CASE WHEN count(*) > count({c}) THEN 1 ELSE 0 END) AS n FROM targeted" for c in CAT) + ") t"),
+    _section("histograms", "SELECT sum(n)::BIGINT FROM (" + _union(
+        f"SELECT count(DISTINCT CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / 10.0)), 9) END) AS n "
+        f"FROM (SELECT CAST({c} AS DOUBLE) AS v, min(CAST({c} AS DOUBLE)) OVER () AS lo, max(CAST({c} AS DOUBLE)) OVER () AS hi FROM targeted) t WHERE v IS NOT NULL"
+        for c in NUM) + ") t"),
+    _section("anova", f"SELECT {len(NUM)}"), _section("chi2", f"SELECT {len(CAT) - 1}"),
+    _section("contingency", "SELECT sum(n)::BIGINT FROM (" + _union(
+        f"SELECT count(*) AS n FROM (SELECT DISTINCT {c}, final_outcome FROM targeted WHERE {c} IS NOT NULL AND final_outcome IS NOT NULL) d"
+        for c in CAT if c != "final_outcome") + ") t")]))
+def q_eda_report(spark, sf_dir):
+    """The report against the outcome without its association part, as
+    the number of rows of each section."""
+    t = stage(targeted(spark, sf_dir).select(*sorted(set(NUM) | set(CAT))), "report")
+    parts = D.eda_report(t, NUM, CAT, "final_outcome", include_association_analysis=False)
+    rows = [df.agg(F.count("*").alias("n_rows")).select(F.lit(k).alias("section"), "n_rows") for k, df in parts.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @register("eda_pearson", with_modelling() + _union(
     f"SELECT '{a}' AS a, '{b}' AS b, {rsql(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} AS r FROM targeted"
     for a, b in D.lower_tri(NUM)))
