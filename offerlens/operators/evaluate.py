@@ -22,6 +22,7 @@ from offerlens.session import stage
 # Fixed values of the reference's evaluation notebook.
 EPSILONS = [0.2, 0.5, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 14, 16]
 WITHIN_TOLERANCE = 0.2
+# Warning and penalty thresholds and scores of the same notebook.
 ZERO_DISCOUNT_BELOW = 3
 MEDIAN_DIFF_THRESHOLD = 9
 LARGE_DIFF_THRESHOLD = 40
@@ -272,6 +273,15 @@ def warnings_table(rcr: DataFrame, auc: DataFrame, disc: DataFrame, diff: DataFr
     return out.withColumn("contribution", F.col("score") / F.lit(float(n_configs)))
 
 
+def total_warning_score(warnings: DataFrame) -> DataFrame:
+    """The score of each config and the total, in which a warning counts
+    by the share of configs that raise it."""
+    per = warnings.groupBy("config").agg(F.sum("score").alias("score"), F.sum("contribution").alias("contribution"), F.count("*").alias("n_warnings"))
+    total = warnings.agg(F.lit("total").alias("config"), F.coalesce(F.sum("score"), F.lit(0.0)).alias("score"),
+                         F.coalesce(F.sum("contribution"), F.lit(0.0)).alias("contribution"), F.count("*").alias("n_warnings"))
+    return per.unionByName(total)
+
+
 def auc_per_config(scored: DataFrame) -> DataFrame:
     """AUC per config from grouped scores (mid-rank), via running sums."""
     g = scored.groupBy("config", F.col("pred").alias("score")).agg(

@@ -14,8 +14,8 @@ from offerlens.sources import fixtures as fx
 FEATURE_PARAMS = feat.FeatureParams(lead_map=fx.LEAD_MAP, initiator_map=fx.INITIATOR_MAP,
                                     competitor_map=fx.COMPETITOR_MAP)
 
-# Master table column list (the reference's keep list, in order) and the
-# rename of the mix shares onto it.
+# Master table column list (the reference's keep list, in
+# order), its categorical and numeric features, its train and test windows.
 MASTER_COLUMNS = [
     "published_revenue_shp", "created_date_off", "discount_shp", "final_outcome",
     "organization_id", "product_cluster_shp", "loyalty_code_cust", "industry",
@@ -74,11 +74,17 @@ def stored_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def master_table(spark: SparkSession, sf_dir: str, with_ids: bool = False) -> DataFrame:
-    """Feature table standardized to the master column list (P1) and typed."""
-    ft = stored_feature_table(spark, sf_dir)
+    """Feature table standardized to the master column list (P1), typed
+    and without repeated rows (F1); ``with_ids`` keeps two ids, and with them
+    the rows that differ in an id only.  Written once per application, so the
+    de-duplication's shuffle is not repeated by every later stage."""
     keep = MASTER_COLUMNS + (["offer_id", "gsfa_customer_id"] if with_ids else [])
-    df = prep.standardize_dataset(ft, {}, keep)
-    return prep.convert_dtype_columns(df, NUMERIC, CATEGORICAL, ["created_date_off"])
+
+    def build() -> DataFrame:
+        df = prep.standardize_dataset(stored_feature_table(spark, sf_dir), {}, keep)
+        return prep.clean_dataset(prep.convert_dtype_columns(df, NUMERIC, CATEGORICAL, ["created_date_off"]))
+
+    return materialize(spark, ("master", with_ids, sf_dir, input_fingerprint(spark, sf_dir)), build)
 
 
 def modelling_table(spark: SparkSession, sf_dir: str, with_ids: bool = True) -> DataFrame:

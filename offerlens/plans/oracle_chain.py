@@ -225,7 +225,7 @@ def master_ctes() -> list[tuple[str, str]]:
     from offerlens.plans.master import MASTER_COLUMNS, NUMERIC, TEST_WINDOW, TRAIN_WINDOW
     cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in NUMERIC else c for c in MASTER_COLUMNS)
     return [
-        ("master", f"SELECT {cols}, offer_id, gsfa_customer_id FROM features"),
+        ("master", f"SELECT DISTINCT {cols}, offer_id, gsfa_customer_id FROM features"),
         ("targeted", """
             SELECT *, CASE WHEN final_outcome = 'Accepted' THEN 1
                            WHEN final_outcome = 'Rejected' THEN 0

@@ -8,7 +8,7 @@ from offerlens.operators import evaluate as V
 from offerlens.plans.master import rounded
 from offerlens.plans.oracle_chain import rsql, with_modelling
 from offerlens.plans.q_ladder import GAMMAS, SCORER, test_rows
-from offerlens.plans.registry import register
+from offerlens.plans.registry import ORACLES, register
 from offerlens.session import stage
 
 # Three model configurations (name, intercept, discount coefficient).
@@ -252,13 +252,43 @@ def q_auc_per_config(spark, sf_dir):
     return a.select("config", rounded(F.col("auc")).alias("auc"))
 
 
-@register("eval_warnings")
+def _warnings_sql() -> str:
+    """Rows (config, warning, score), from the SQL of the single checks."""
+    def of(name: str) -> str:  # the check's own SELECT behind the shared CTEs
+        return ORACLES[name][len(with_ev()):]
+
+    return f"""
+      SELECT config, 'rcr_below_real' AS warning, 50.0::DOUBLE AS score FROM rcr GROUP BY config HAVING avg(rcr) < first(rcr_real)
+      UNION ALL SELECT config, 'subset_below_10pct', 30.0 FROM rcr WHERE gamma = {GAMMAS[1]} AND within_pct < 10
+      UNION ALL SELECT config, 'auc_below_0.55', 1.0 FROM ({of('auc_per_config')}) a WHERE auc < {V.AUC_WARN_THRESHOLD}
+      UNION ALL SELECT config, 'zero_discounts', zero_score FROM ({of('discount_checks')}) d WHERE zero_warning
+      UNION ALL SELECT config, 'median_discounts_differ', median_score FROM ({of('discount_checks')}) d WHERE median_score > 0
+      UNION ALL SELECT config, 'unexpected_diff_median', median_score FROM ({of('diff_checks')}) d WHERE median_score > 0
+      UNION ALL SELECT config, 'large_negative_diff', large_diff_score FROM ({of('diff_checks')}) d WHERE large_diff_score > 0"""
+
+
+def _warnings(spark, sf_dir):
+    ev = stage(ev_table(spark, sf_dir), "evaluation")
+    rcr = V.rcr_by_gamma(ev, GAMMAS)
+    return V.warnings_table(rcr, V.auc_per_config(scored_table(spark, sf_dir)), V.discount_checks(ev),
+                            V.diff_checks(ev), GAMMAS[1], len(CONFIGS))
+
+
+@register("eval_warnings", with_ev() + f"""
+    SELECT config, warning, {rsql('score')} AS score, {rsql(f'score / {len(CONFIGS)}')} AS contribution FROM ({_warnings_sql()}) w""")
 def q_eval_warnings(spark, sf_dir):
     """Warning table (config, warning, score, contribution) from the
     RCR, coverage, AUC, discount and difference checks."""
-    ev = stage(ev_table(spark, sf_dir), "evaluation")
-    rcr = V.rcr_by_gamma(ev, GAMMAS)
-    out = V.warnings_table(rcr, V.auc_per_config(scored_table(spark, sf_dir)), V.discount_checks(ev),
-                           V.diff_checks(ev), GAMMAS[1], len(CONFIGS))
+    out = _warnings(spark, sf_dir)
     return out.select("config", "warning", rounded(F.col("score")).alias("score"),
                       rounded(F.col("contribution")).alias("contribution"))
+
+
+@register("eval_warning_score", with_ev() + f""", w AS ({_warnings_sql()})
+    SELECT config, {rsql('sum(score)')} AS score, {rsql(f'sum(score) / {len(CONFIGS)}')} AS contribution, count(*) AS n_warnings
+    FROM w GROUP BY config UNION ALL
+    SELECT 'total', {rsql('coalesce(sum(score), 0)')}, {rsql(f'coalesce(sum(score), 0) / {len(CONFIGS)}')}, count(*) FROM w""")
+def q_eval_warning_score(spark, sf_dir):
+    """Score per config and in all."""
+    t = V.total_warning_score(_warnings(spark, sf_dir))
+    return t.select("config", *[rounded(F.col(c)).alias(c) for c in ("score", "contribution")], "n_warnings")

@@ -72,14 +72,15 @@ _MASTER_PLAIN = [c for c in M.MASTER_COLUMNS if c not in _MASTER_D6 + _MASTER_D2
 
 
 def _master_sql_select(src: str = "features") -> str:
-    cols = (_MASTER_PLAIN + [f"{rsql(f'CAST({c} AS DOUBLE)')} AS {c}" for c in _MASTER_D6]
-            + [f"{rsql(c, 2)} AS {c}" for c in _MASTER_D2])
-    return f"SELECT {', '.join(cols)} FROM {src}"
+    cols = (_MASTER_PLAIN + [f"{rsql(c)} AS {c}" for c in _MASTER_D6] + [f"{rsql(c, 2)} AS {c}" for c in _MASTER_D2])
+    kept = _MASTER_PLAIN + [f"CAST({c} AS DOUBLE) AS {c}" for c in _MASTER_D6] + list(_MASTER_D2)
+    return f"SELECT {', '.join(cols)} FROM (SELECT DISTINCT {', '.join(kept)} FROM {src}) m"
 
 
 @register("master_table", with_features("orders") + _master_sql_select())
 def q_master_table(spark, sf_dir):
-    """P1 standardize (rename + keep list) and P2 casts on the feature table."""
+    """P1 standardize (rename + keep list), P2 casts and F1 de-duplication of
+    the feature table."""
     m = M.master_table(spark, sf_dir)
     return m.select(*_MASTER_PLAIN, *[rnd(c) for c in _MASTER_D6], *[rnd(c, 2) for c in _MASTER_D2])
 

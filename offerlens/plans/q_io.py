@@ -10,7 +10,8 @@ from offerlens.plans.master import rounded
 from offerlens.plans.oracle_chain import rsql
 from offerlens.operators import evaluate as V
 from offerlens.plans.q_ladder import GAMMAS
-from offerlens.plans.registry import register
+from offerlens.plans.registry import ORACLES, register
+from offerlens.session import stage
 from offerlens.sources import fixtures as fx
 from offerlens.sources import io
 
@@ -40,12 +41,34 @@ def q_io_csv_roundtrip(spark, sf_dir):
     column kept inside the files), read back in one scan with an explicit
     schema."""
     path = io.scratch_path(spark, "csv_roundtrip")
-    li = fx.lines(spark, sf_dir)
-    (li.withColumn("org_part", F.col("organization_id")).write.mode("overwrite")
-       .partitionBy("org_part").option("header", True)
-       .option("timestampNTZFormat", io.TIMESTAMP_FORMAT).csv(path))
-    back = io.read_csv(spark, f"{path}/*/*.csv", io.LINES_SCHEMA)
-    return _counts(back)
+    io.write_partitioned_csv(fx.lines(spark, sf_dir), f"{path}/lines", f"{path}/counts")
+    return _counts(io.read_entity(spark, path, "lines/*", io.LINES_SCHEMA))
+
+
+@register("io_entities", fx.fixture_ctes() + """
+    SELECT 'offers' AS entity, count(*) AS n_rows, count(DISTINCT offer_id) AS n_keys FROM f_offers
+    UNION ALL SELECT 'lines', count(*), count(DISTINCT offer_id) FROM f_lines
+    UNION ALL SELECT 'countries', count(*), count(DISTINCT organization_id) FROM f_countries
+    UNION ALL SELECT 'counts', count(*), CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM f_offers GROUP BY organization_id) c""")
+def q_io_entities(spark, sf_dir):
+    """The raw entities written as one CSV folder per
+    organization, the organizations as one dimension, all read back with their
+    schemas; A1: the offer counts per organization written beside them."""
+    path = io.scratch_path(spark, "entities")
+    io.write_partitioned_csv(fx.offers(spark, sf_dir), f"{path}/offers", f"{path}/counts")
+    io.write_partitioned_csv(fx.lines(spark, sf_dir), f"{path}/lines")
+    fx.countries(spark, sf_dir).write.option("header", True).csv(f"{path}/countries")
+    offers = io.read_entity(spark, path, "offers/*", io.OFFERS_SCHEMA)
+    lines = io.read_entity(spark, path, "lines/*", io.LINES_SCHEMA)
+    countries = io.read_organizations(spark, f"{path}/countries")
+    counts = io.read_csv(spark, f"{path}/counts", io.COUNTS_SCHEMA)
+
+    def row(name, df, key):
+        return df.agg(F.lit(name).alias("entity"), F.count("*").alias("n_rows"), key.alias("n_keys"))
+
+    return (row("offers", offers, F.count_distinct("offer_id")).unionByName(row("lines", lines, F.count_distinct("offer_id")))
+            .unionByName(row("countries", countries, F.count_distinct("organization_id")))
+            .unionByName(row("counts", counts, F.sum("n_offers"))))
 
 
 @register("io_versioned_latest", _COUNTS_SQL)
@@ -59,20 +82,25 @@ def q_io_versioned_latest(spark, sf_dir):
     return _counts(io.read_latest_version(spark, base))
 
 
-@register("io_experiment_store")
+@register("io_experiment_store", QE.with_ev() + f"""
+    SELECT country, span, x.experiment, config, gamma, {rsql('rcr')} AS rcr, x.countries FROM rcr,
+      (VALUES ('all', 'exp_a', 'all'), ('all', 'exp_b', 'all,other'), ('other', 'exp_b', 'all,other')) x(country, experiment, countries),
+      (SELECT '2000-01-01~2001-09-01' AS span) s""")
 def q_io_experiment_store(spark, sf_dir):
     """Per-config evaluation results stored by country,
-    span, experiment and config; read back by experiment and listed."""
+    span, experiment and config (one slice written twice, as by a retry);
+    read back with the countries of each experiment."""
     base = io.scratch_path(spark, "experiments")
-    rcr = V.rcr_by_gamma(QE.ev_table(spark, sf_dir), GAMMAS).persist()
-    for exp in ("exp_a", "exp_b"):
-        io.write_experiment_results(rcr, base, "all", "2000-01-01~2001-09-01", exp, "rcr")
+    rcr = stage(V.rcr_by_gamma(QE.ev_table(spark, sf_dir), GAMMAS), "rcr")
+    for country, exp in (("all", "exp_a"), ("all", "exp_b"), ("other", "exp_b"), ("all", "exp_b")):
+        io.write_experiment_results(rcr, base, country, "2000-01-01~2001-09-01", exp, "rcr")
     back = io.read_experiment(spark, base, "rcr")
-    rcr.unpersist()
-    return io.experiments_by_country(back, "exp")
+    listed = io.experiments_by_country(back, "exp").select("experiment", F.array_join("countries", ",").alias("countries"))
+    return back.join(listed, "experiment").select("country", "span", "experiment", "config", "gamma",
+                                                  rounded(F.col("rcr")).alias("rcr"), "countries")
 
 
-@register("io_metrics_json")
+@register("io_metrics_json", ORACLES["best_config"])
 def q_io_metrics_json(spark, sf_dir):
     """Best-config table written as a JSON row set and a CSV
     report, read back."""
@@ -81,4 +109,5 @@ def q_io_metrics_json(spark, sf_dir):
     path = io.scratch_path(spark, "metrics")
     io.write_json_row(b, f"{path}/json")
     io.write_report(b, f"{path}/report")
-    return spark.read.schema(b.schema).json(f"{path}/json")
+    json_, report = spark.read.schema(b.schema).json(f"{path}/json"), io.read_csv(spark, f"{path}/report", b.schema)
+    return json_.join(report.select("config"), "config", "left_semi")

@@ -17,7 +17,7 @@ from offerlens.sources import fixtures as fx
     SELECT final_outcome, accepted, count(*) AS n FROM targeted GROUP BY final_outcome, accepted""")
 def q_fix_target(spark, sf_dir):
     """Outcome -> 0/1/NULL (unknown words raise)."""
-    m = prep.fix_target(M.master_table(spark, sf_dir), "final_outcome", "accepted")
+    m = prep.fix_target(M.master_table(spark, sf_dir, with_ids=True), "final_outcome", "accepted")
     return m.groupBy("final_outcome", "accepted").agg(F.count("*").alias("n"))
 
 
