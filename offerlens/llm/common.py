@@ -50,6 +50,10 @@ class Stages:
         out._stage_path = path
         return out
 
+    def together(self, parts: list[DataFrame]) -> DataFrame:
+        """Tables of one schema as one scan, however many they are."""
+        return self.spark.read.schema(parts[0].schema).parquet(*[p._stage_path for p in parts])
+
     def drop(self, df: DataFrame) -> None:
         """Remove a table that no later plan reads."""
         jvm = self.spark._jvm

@@ -7,12 +7,14 @@ Used by the document operator (odd sketches) and the paragraph operator.
 2. equal sets are one class member: only its smallest id goes on;
 3. every band bucket compares its members with one of them, its pivot (a
    star, linear in the bucket), candidates are estimated by their sketches and
-   sizes and confirmed on the full sets; confirmed links are closed to
+   sizes and confirmed on the full sets (written once for the texts that share
+   a bucket); confirmed links are closed to
    components.  The pivot is the member that meets most others over all its
    buckets, the text that the others were copied from;
 4. where buckets still hold many pairs between different components (more than
-   ``SPARSE`` a member on average), they are compared with their next pivot, as
-   long as that finds links;
+   ``SPARSE`` a member on average), they are compared with four times as many
+   further pivots, one a component, as long as that finds links.  New links
+   only merge the components of the rounds before;
 5. then all pairs of a bucket that still are in different components are
    compared, so no candidate link between different components is left out.
 """
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerlens.llm.common import Stages, bloom_filters, connected_components, passing, ship
@@ -35,6 +37,7 @@ from offerlens.llm.common import Stages, bloom_filters, connected_components, pa
 ship(__name__)
 
 SIGMAS = 5.0
+SLICE = 512  # texts turned into sets at once
 SPARSE = 4  # pairs per member that step 5 takes without another pivot
 
 
@@ -54,7 +57,7 @@ class WordHashes(dict):
     """64-bit hash of each word seen by this task; emptied when it gets large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 100_000:
             self.clear()
         v = self[word] = xxhash.xxh64_intdigest(word)
         return v
@@ -156,27 +159,29 @@ def signatures(items: DataFrame, n: int, bands: int, rows: int, longs: int) -> D
         run, "id long, n long, key binary, bands array<long>, sketch array<long>")
 
 
-def _confirm(pairs: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold."""
+def full_sets(items: DataFrame, n: int) -> DataFrame:
+    """``(id, set)``: the whole shingle set of ``items(id, body)``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
+        for pdf in batches:
+            for lo in range(0, len(pdf), SLICE):
+                part = pdf.iloc[lo:lo + SLICE]
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "set": [shingles(x, n, hashes).view(np.int64) for x in part["body"]]})
+
+    return items.mapInPandas(run, "id long, set array<long>")
+
 
-    @F.pandas_udf("boolean")
-    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
-        hashes, out = WordHashes(), []
-        last, left = None, None
-        for a, b in zip(x, y):
-            if a is not last:
-                last, left = a, shingles(a, n, hashes)
-            right = shingles(b, n, hashes)
-            both = len(np.intersect1d(left, right, assume_unique=True))
-            out.append(100 * both >= percent * (len(left) + len(right) - both))
-        return pd.Series(out)
-
-    # sort-merge at every size: texts are shuffled for their own pairs only
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets reach the threshold."""
+    # sort-merge at every size: sets are shuffled for their own pairs only
     in_a, in_b = bloom_filters(pairs.select("a", "b"))
-    b = passing(bodies, "id", in_b).select(F.col("id").alias("b"), F.col("body").alias("body_b"))
-    a = passing(bodies, "id", in_a).select(F.col("id").alias("a"), F.col("body").alias("body_a"))
+    b = passing(sets, "id", in_b).select(F.col("id").alias("b"), F.col("set").alias("set_b"))
+    a = passing(sets, "id", in_a).select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     both = pairs.hint("merge").join(b, "b").hint("merge").join(a, "a")
-    return both.where(similar("body_a", "body_b")).select("a", "b").distinct()
+    common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
+    linked = 100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)
+    return both.where(linked).select("a", "b").distinct()
 
 
 def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, bands: int, rows: int, longs: int) -> DataFrame:
@@ -193,6 +198,9 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
     buckets = rows_.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
     member = stages.put(rows_.join(buckets, "band"), "bucket-members")
     weights = stages.put(member.groupBy("id").agg(F.sum("members").alias("weight")), "weights")
+    # the full sets of those that share a bucket, tokenised once
+    met, = bloom_filters(weights.select("id"))
+    sets = stages.put(full_sets(passing(items.where("id IS NOT NULL"), "id", met), n).dropDuplicates(["id", "set"]), "full-sets")
 
     def marks_with(*more: str) -> DataFrame:
         cap = sketch_cap(percent, longs, F.col("n").cast("double"), F.col("n") / (percent / 100))
@@ -201,37 +209,48 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
     def side(df: DataFrame, i: str) -> DataFrame:
         return df.withColumnsRenamed({"id": i, "n": "n_" + i, "cap": "c_" + i, "sketch": "s_" + i, "bands": "bands_" + i})
 
-    now, comp, found, tested, used = member.select("band", "id", F.col("id").alias("c")), None, None, None, None
-
-    def links(pairs: DataFrame, name: str) -> bool:
-        """Confirm the pairs that were not confirmed or refused before; whether there are new links."""
-        nonlocal tested, found, comp
-        p = stages.put(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, f"{name}-candidates")
-        new = stages.put(_confirm(p, items, n, percent), f"{name}-links")
-        tested = p if tested is None else tested.union(p)
-        if not new.head(1):
-            return False
-        found = new if found is None else found.union(new)
-        comp = stages.put(connected_components(stages, found), "components")
-        return True
-
+    now = member.select("band", "id", F.col("id").alias("c"))
+    comp = stages.put(weights.select("id", F.col("id").alias("c")), "components")
+    tested: list[DataFrame] = []
+    used: list[DataFrame] = []
+
+    def links(pairs: DataFrame, name: str) -> DataFrame | None:
+        """Confirm the pairs that were not confirmed or refused before, and
+        merge the components that new links join: ``(c, merged)`` of those
+        that changed, None if there are none."""
+        nonlocal comp
+        p = pairs.join(stages.together(tested), ["a", "b"], "left_anti") if tested else pairs
+        tested.append(stages.put(p, f"{name}-candidates"))
+        new = stages.put(_confirm(tested[-1], sets, percent), f"{name}-links")
+        ends = new.join(comp.select(F.col("id").alias("a"), F.col("c").alias("x")), "a").join(
+            comp.select(F.col("id").alias("b"), F.col("c").alias("y")), "b")
+        edges = stages.put(ends.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), f"{name}-edges")
+        if not edges.head(1):
+            return None
+        merged = stages.put(connected_components(stages, edges).select(F.col("node").alias("c"), F.col("component").alias("merged")), "merged")
+        comp = stages.put(_renamed(comp, merged), "components")
+        return merged
+
+    pivots_a_bucket = 1
     while True:
+        # of each component in a bucket the member that meets most others; of
+        # those the first few, which have not been pivots
         rank = now.join(weights, "id")
-        if used is not None:
-            rank = rank.join(used, ["band", "id"], "left_anti")
-        pivots = rank.groupBy("band").agg(F.max(F.struct("weight", F.negative("id").alias("id"), "c")).alias("p"))
-        pivots = stages.put(pivots.select("band", F.negative("p.id").alias("pivot"), F.col("p.c").alias("pc")), "pivots")
-        last = pivots.select("band", F.col("pivot").alias("id"))
-        used = last if used is None else used.union(last)
-        star = now.join(pivots, "band").where("c <> pc")
-        star = star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-        star = star.join(side(marks_with(), "a"), "a").join(side(marks_with(), "b"), "b").where(may_link(percent, longs)).select("a", "b")
-        new = links(star.distinct(), "star")
-        if comp is not None:
-            now = member.select("band", "id").join(comp, member["id"] == comp["node"], "left").select(
-                "band", "id", F.coalesce("component", "id").alias("c"))
-            now = stages.put(now, "bucket-components")
+        if used:
+            rank = rank.join(stages.together(used), ["band", "id"], "left_anti")
+        heads = rank.groupBy("band", "c").agg(F.max(F.struct("weight", F.negative("id").alias("id"))).alias("p"))
+        order = Window.partitionBy("band").orderBy(F.desc("p"))
+        heads = heads.withColumn("k", F.row_number().over(order)).where(F.col("k") <= pivots_a_bucket)
+        pivots = stages.put(heads.select("band", F.negative("p.id").alias("pivot"), F.col("c").alias("pc")), "pivots")
+        used.append(stages.put(pivots.select("band", F.col("pivot").alias("id")), "used"))
+        # a pair that cannot link by sizes and sketches does not leave the join
+        x = side(now.join(marks_with(), "id"), "a")
+        y = side(pivots.withColumnRenamed("pivot", "id").join(marks_with(), "id"), "b").withColumnRenamed("band", "band_b")
+        star = x.join(y, (F.col("band") == F.col("band_b")) & (F.col("c") != F.col("pc")) & may_link(percent, longs))
+        merged = links(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "star")
+        now = _renamed(now, merged) if merged is not None else now
         # pairs of a bucket's members between different components
+        now = stages.put(now, "bucket-components")
         held = now.groupBy("band", "c").agg(F.count("*").cast("double").alias("k"))
         held = held.groupBy("band").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("within"),
                                         F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
@@ -239,9 +258,10 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
                            "mixed-buckets")
         now = now.join(mixed.select("band"), "band", "left_semi")
         across, held = mixed.agg(F.sum("across"), F.sum("k")).first()
-        if not new or not held or across <= SPARSE * held:
+        if merged is None or not held or across <= SPARSE * held:
             break
         now = stages.put(now, "mixed-members")
+        pivots_a_bucket *= 4
 
     now = now.join(marks_with("bands"), "id")
     x, y = (side(now, i).withColumnRenamed("c", "comp_" + i) for i in "ab")
@@ -250,8 +270,11 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
     rest = x.join(y, (x["band"] == y["band"]) & (F.col("comp_a") < F.col("comp_b")) & may_link(percent, longs) & first)
     links(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
 
-    name = reps.select("key", "rep", F.col("rep").alias("component"))
-    if comp is not None:
-        name = reps.join(comp, reps["rep"] == comp["node"], "left").select("key", F.coalesce("component", "rep").alias("component"))
-    out = sig.select("id", "n", "key").join(name.select("key", "component"), "key", "left")
+    name = reps.join(comp, reps["rep"] == comp["id"], "left").select("key", F.coalesce("c", "rep").alias("component"))
+    out = sig.select("id", "n", "key").join(name, "key", "left")
     return out.select("id", "n", F.coalesce("component", "id").alias("component"))
+
+
+def _renamed(df: DataFrame, merged: DataFrame) -> DataFrame:
+    """``df`` with the merged name of its component ``c``."""
+    return df.join(merged, "c", "left").withColumn("c", F.coalesce("merged", "c")).drop("merged")
