@@ -16,7 +16,9 @@ one's docs.  All but the last return the columns of ``documents``.
 * ``mix`` returns what the mix to target weights takes of every document.
 
 Results in special cases: a null id is no group and stays; of rows equal in id
-and text one stays at ``near_dedup``; null texts stay as they are; empty
+and text one stays at ``near_dedup``; rows that share an id with different
+texts are one document of several forms and go together, when one form is toxic
+or a copy of a document with a smaller id; null texts stay as they are; empty
 tables give empty results; extra columns are carried through where they do
 not clash with a column of ``documents``.
 """
@@ -26,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerlens.functions.sizing import checked_broadcast
 from offerlens.llm.common import Stages, read_table
 from offerlens.llm.decontaminate import decontaminate
 from offerlens.llm.mixing import mix
@@ -51,8 +54,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_duplicate_documents(docs, shingle=5)
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    return kept
+    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").withColumn("_key", text_key())
+    # repeated rows: only they are brought together
+    again = docs.groupBy(text_key().alias("_key")).agg(F.count("*").alias("_n")).where("_n > 1").select("_key")
+    again = checked_broadcast(Stages(spark, "repeated-rows").put(again, "keys"))
+    one = kept.join(again, "_key", "left_semi").dropDuplicates(["_key"])
+    return kept.join(again, "_key", "left_anti").unionByName(one).select(*COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -245,3 +245,14 @@ def test_chat_template(spark):
     assert list(chat.read_back(row.formatted)) == [x[2:] for x in rows]
     with pytest.raises(ValueError):
         list(chat.read_back(row.formatted + "x"))
+
+
+def test_pipeline_keeps_one_of_repeated_rows(spark):
+    import corpus_pipeline
+    words = [f"w{i}" for i in range(200)]
+    docs = spark.createDataFrame([(1, " ".join(words), "en", "s", 1, "x"), (1, " ".join(words), "en", "s", 1, "x"), (2, " ".join(words), "de", None, 1, "y"),
+                                  (3, "other words here", "en", "s", 2, "z"), (None, None, None, None, None, None), (None, None, None, None, None, None)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, _n string")
+    out = corpus_pipeline.near_dedup(spark, docs, SF_SMALL)
+    assert out.columns == corpus_pipeline.COLUMNS and sorted(str(r.doc_id) for r in out.collect()) == ["1", "3", "None"]
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), SF_SMALL).collect() == []
