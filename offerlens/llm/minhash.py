@@ -270,6 +270,8 @@ def near_duplicates(stages: Stages, items: DataFrame, n: int, percent: int, band
     rest = x.join(y, (x["band"] == y["band"]) & (F.col("comp_a") < F.col("comp_b")) & may_link(percent, longs) & first)
     links(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
 
+    for done in (sets, member, weights):  # read by no later plan
+        stages.drop(done)
     name = reps.join(comp, reps["rep"] == comp["id"], "left").select("key", F.coalesce("c", "rep").alias("component"))
     out = sig.select("id", "n", "key").join(name, "key", "left")
     return out.select("id", "n", F.coalesce("component", "id").alias("component"))
