@@ -67,6 +67,30 @@ def flagship(spark, sf_dir):
     return q_recommend(spark, sf_dir)
 
 
+# A closed form whose acceptance falls with the discount, as a
+# tree model without constraints may have it.
+FALLING = L.LogisticScorer(intercept=1.0, discount_coef=-0.02)
+
+
+def _monotone_ctes() -> list[tuple[str, str]]:
+    p = FALLING.sql_prob("CAST(d AS DOUBLE)")
+    return [("rows_", "SELECT row_number() OVER () AS rid, * FROM test"),
+            ("raw", f"SELECT rid, d, {p} AS p FROM rows_, range(0, 100) t(d)"),
+            ("lad", """SELECT rid, d, p, (1.0::DOUBLE - CAST(d AS DOUBLE) / 100.0::DOUBLE) * p AS r FROM (
+               SELECT rid, d, max(p) OVER (PARTITION BY rid ORDER BY d ROWS UNBOUNDED PRECEDING) AS p FROM raw) x"""),
+            _ladder_cte()[2]]
+
+
+@register("recommend_monotone", with_modelling(*_monotone_ctes()) + f"""
+    SELECT offer_id, product_cluster_shp, discount_shp, CAST(i.lo AS INTEGER) AS discount_low,
+           CAST(i.hi AS INTEGER) AS discount_high, CAST(m.opt AS INTEGER) AS discount_opt_wo_adj
+    FROM rows_ r JOIN lad_max m ON r.rid = m.rid JOIN {_interval_sql(REC_GAMMA)} i ON r.rid = i.rid""")
+def q_recommend_monotone(spark, sf_dir):
+    """W9 + R6: the recommendation on the running maximum of the ladder."""
+    r = L.recommend(test_rows(spark, sf_dir), FALLING, gamma=REC_GAMMA, monotone=True)
+    return r.select("offer_id", "product_cluster_shp", "discount_shp", "discount_low", "discount_high", "discount_opt_wo_adj")
+
+
 # --- R7 + P18 -------------------------------------------------------------------
 
 def _eval_cols() -> list[str]:

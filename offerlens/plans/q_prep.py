@@ -21,6 +21,16 @@ def q_fix_target(spark, sf_dir):
     return m.groupBy("final_outcome", "accepted").agg(F.count("*").alias("n"))
 
 
+@register("drop_null_target", with_modelling() + """
+    SELECT organization_id, count(*) AS n, CAST(sum(accepted) AS BIGINT) AS n_accepted
+    FROM targeted WHERE accepted IS NOT NULL GROUP BY organization_id""")
+def q_drop_null_target(spark, sf_dir):
+    """rows without a known outcome go, whatever their discount."""
+    m = prep.fix_target(M.master_table(spark, sf_dir, with_ids=True), "final_outcome", "accepted")
+    return prep.drop_null_target(m).groupBy("organization_id").agg(
+        F.count("*").alias("n"), F.sum("accepted").cast("bigint").alias("n_accepted"))
+
+
 @register("filter_dataset", with_modelling() + """
     SELECT organization_id, count(*) AS n, CAST(sum(accepted) AS BIGINT) AS n_accepted,
            min(discount_shp) AS min_discount, max(discount_shp) AS max_discount
