@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +32,27 @@ def plain(x: pd.Series) -> np.ndarray:
     return x.to_numpy(dtype=object)
 
 
+def release() -> None:
+    """Hand freed memory back to the system: a Python worker lives on after its
+    task, idle beside the workers of the next stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """A function of ``mapInPandas`` whose worker releases memory at the end."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from run(batches)
+        release()
+
+    return task
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -56,8 +81,14 @@ class Stages:
 
     def drop(self, df: DataFrame) -> None:
         """Remove a table that no later plan reads."""
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(df._stage_path)
+        self._delete(df._stage_path)
+
+    def clear(self) -> None:
+        """Remove all tables, once no later plan reads any."""
+        self._delete(self.root)
+
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
@@ -130,7 +161,7 @@ def bloom_filters(keys: DataFrame) -> list[bytes]:
     def either(x: bytes, y: bytes) -> bytes:
         return np.bitwise_or(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)).tobytes()
 
-    all_ = keys.mapInPandas(run, "bits binary").rdd.map(lambda r: bytes(r[0])).treeAggregate(bytes(n * size // 8), either, either)
+    all_ = keys.mapInPandas(lean(run), "bits binary").rdd.map(lambda r: bytes(r[0])).treeAggregate(bytes(n * size // 8), either, either)
     return [all_[i * size // 8:(i + 1) * size // 8] for i in range(n)]
 
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, bloom_filters, bloom_places, plain, read_table, ship, unpack
+from offerlens.llm.common import Stages, bloom_filters, bloom_places, lean, plain, read_table, ship, unpack
 from offerlens.llm.minhash import WordHashes
 from offerlens.llm.registry import register
 
@@ -89,7 +89,7 @@ def item_windows(benchmark: DataFrame, span: int) -> DataFrame:
                                         "hi": hi.view(np.int64), "lo": lo.view(np.int64)}).drop_duplicates()
 
     return benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("body")).mapInPandas(
-        run, "item_id string, span int, fp long, hi long, lo long")
+        lean(run), "item_id string, span int, fp long, hi long, lo long")
 
 
 def scan(docs: DataFrame, bloom: bytes, spans: list[int]) -> DataFrame:
@@ -121,7 +121,7 @@ def scan(docs: DataFrame, bloom: bytes, spans: list[int]) -> DataFrame:
     # equal rows share a key, and so their hits
     key = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))).cast("binary"))
     return docs.select("doc_id", key.alias("key"), F.col("text").cast("binary").alias("body")).mapInPandas(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key string, n_words long, "
+        lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key string, n_words long, "
              "hits array<struct<pos: long, span: int, hi: long, lo: long>>")
 
 

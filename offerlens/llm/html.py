@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from offerlens.llm.common import plain, read_table, ship
+from offerlens.llm.common import lean, plain, read_table, ship
 from offerlens.llm.registry import register
 
 ship(__name__)
@@ -45,11 +45,18 @@ OFF = frozenset("""nav footer aside form script style noscript template head ifr
     dialog audio video map datalist""".split())
 REGIONS = frozenset("article main section div td body blockquote".split())
 OFF_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+# class and id names of boilerplate, matched as whole names: what it is, between a place before and a kind of box after it
 OFF_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adbox|sponsor\w*|promo\w*|banner|side-?bar|cookies?|consent|gdpr|notices?|notification|"
-    r"alert|popup|modal|overlay|comments?|commentlist|disqus|respon[ds]\w*|replies|menu|nav|navbar|navigation|breadcrumbs?|"
-    r"foot|footer|masthead|topbar|site-?header|page-?header|share|sharing|social|related|recommend\w*|newsletter|subscribe|"
-    r"subscription|signup|login|search|widget|pagination|pager|toolbar|copyright|skip-?link)(?:$|[\s_-])", re.I)
+    r"(?:(?:site|page|main|top|bottom|left|right|global|primary|secondary|header|footer|post|entry|article|user|reader|blog|wp|js)[_-]?)?"
+    r"(?:ads?|advert|adverts|advertisement|advertising|adsense|adbox|sponsored|sponsors?|promo|promos|promotion|banner|side-?bar|"
+    r"cookies?|cookie-?consent|consent|gdpr|notices?|notification|alert|popup|modal|overlay|comments?|disqus|respond|replies|reply|"
+    r"menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|topbar|share|sharing|social|social-?media|newsletter|subscribe|"
+    r"subscription|sign-?up|log-?in|search|widgets?|pagination|pager|toolbar|copyright|skip-?link|"
+    r"(?:related|recommended|popular|more)[_-](?:posts?|articles?|links?|stories|content|reading|news|products?|items?)|recommendations)"
+    r"(?:[_-]?(?:box|bar|list|area|wrap|wrapper|container|block|section|panel|slot|unit|banner|notice|form|links?|buttons?|items?|"
+    r"menu|popup|modal|overlay|message|thread|header|footer|content|inner|top|bottom|left|right|sign-?up|share|sharing|subscribe|"
+    r"widgets?|toggle|\d+))*", re.I)
+HEADERS = re.compile(r"(?:site|page|top|global|main)[_-]?header|header[_-]?(?:bar|wrap|wrapper|container)", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -87,7 +94,8 @@ class Lines(HTMLParser):
             off = (a.get("role") or "").lower() in OFF_ROLES or "hidden" in a or (a.get("aria-hidden") or "").lower() == "true" or bool(
                 HIDDEN.search(a.get("style") or ""))
             if not off and tag not in ("html", "body", "article", "main"):
-                off = bool(OFF_NAME.search(a.get("class") or "") or OFF_NAME.search(a.get("id") or ""))
+                names = f"{a.get('class') or ''} {a.get('id') or ''}".split()
+                off = any(OFF_NAME.fullmatch(x) or HEADERS.fullmatch(x) for x in names)
         new = tag == "article" or tag in REGIONS and not self.article and not self.main
         if new:
             self.regions += 1
@@ -169,7 +177,7 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame({"page_id": plain(pdf["page_id"]), "url": plain(pdf["url"]), "text": text, "n_chars": [len(x) for x in text]})
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id {kind}, url string, text string, n_chars long")
+    return pages.select("page_id", "url", "html").mapInPandas(lean(run), f"page_id {kind}, url string, text string, n_chars long")
 
 
 @register("op1_html_extraction")

@@ -1,22 +1,26 @@
 """Embedding near-duplicates by iterative quantisation (ITQ).
 
-Vectors are compared only inside their label.  Equal vectors are one member.
-A rotation for balanced binary codes is learned by ITQ on a bounded sample of
-unit vectors (``FIT_ROWS``): centre, project on the principal directions, then
-alternate codes ``sign(V R)`` and the orthogonal Procrustes rotation ``R``.
-Every vector is coded and put into multi-index Hamming tables: the code is cut
-into chunks, a pair meets if some chunk differs in at most ``PROBES`` bit.
-Candidates inside the Hamming radius are re-ranked with the original vectors:
-cosine in double precision, links at ``0.98`` or more.
-
-The fit samples, the index holds every row.  At cosine 0.98 a code bit flips
-with a probability of about 0.064; with 64 bits in 4 chunks of 16 and one
-probed bit a pair at the threshold meets with probability 0.99 or more (tested
-against brute force).
+Vectors are compared only inside their label and length.  Equal vectors are one
+member.  A rotation for balanced binary codes is learned by ITQ on a bounded
+sample of unit vectors of each length (``FIT_ROWS``): centre, project on the
+principal directions, then alternate codes ``sign(V R)`` and the orthogonal
+Procrustes rotation ``R``.  Every vector is coded and put into multi-index
+Hamming tables: the code is cut into chunks, a pair meets if some chunk differs
+in at most one bit.  Candidates inside the Hamming radius are re-ranked with the
+original vectors: cosine in double precision, links at ``0.98`` or more.
+
+The fit samples, the index holds every row.  How many bits a pair at the
+threshold flips depends on the vectors: 0.064 of them if these are spread
+around zero, many more if they share a large mean, since centring takes the
+mean away and the difference stays.  So each length takes the first of
+``INDEXES`` (more bits and tables the further down) that finds at least
+``RECALL`` of sample pairs made at exactly the threshold, and a radius that
+holds nearly all of these.  The last ones do not centre; there 0.064 holds
+whatever the mean, and more false candidates are re-ranked.
 
 Results in special cases: null, empty or zero vectors and vectors with null or
 non-finite components, null labels: no links, own component; vectors of
-another length than the most common one are compared with none; repeated rows
+different lengths are not compared (they have no cosine); repeated rows
 are vectors of their own (equal ones link); rows that share an id share its
 component; a null id has a null component; an empty table gives an empty result; extra columns
 are ignored.
@@ -26,52 +30,116 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, connected_components, plain, read_table, ship
+from offerlens.llm.common import Stages, connected_components, lean, plain, read_table, ship
 from offerlens.llm.registry import register
 
 ship(__name__)
 
 COSINE = 0.98
-BITS, CHUNKS = 64, 4
-RADIUS = 16
-FIT_ROWS = 4096
+BITS = 64  # of a word of the code
+FIT_ROWS = 4096  # of each length
 ROUNDS = 30
-
-
-def fit(sample: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, projection): codes are ``(x - mean) @ projection > 0``."""
-    x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-    dim = x.shape[1]
-    mean = x.mean(axis=0)
-    _, _, vt = np.linalg.svd(x - mean, full_matrices=True)
-    base = vt[:min(bits, dim)].T
-    if base.shape[1] < bits:  # fewer dimensions than bits: repeat directions, the rotation tells them apart
-        base = np.tile(base, (1, -(-bits // base.shape[1])))[:, :bits]
-    v = (x - mean) @ base
-    r, _ = np.linalg.qr(np.random.default_rng(7).normal(size=(bits, bits)))
-    for _ in range(ROUNDS):
-        u, _, w = np.linalg.svd(np.where(v @ r > 0, 1.0, -1.0).T @ v)
-        r = (u @ w).T
-    return mean, base @ r
-
-
-def _codes(vectors: DataFrame, mean: np.ndarray, proj: np.ndarray) -> DataFrame:
-    """``code`` (64 bits as a long) of each row of ``vectors(id, g, v)``."""
+RECALL = 0.97  # of sample pairs at the threshold
+
+
+class Index(NamedTuple):
+    """Codes of ``words`` words, each cut into chunks of ``width`` bits."""
+
+    words: int
+    width: int
+    centred: bool
+
+    def chunks(self) -> list[tuple[int, int]]:
+        """(word, first bit) of each chunk."""
+        return [(w, self.width * i) for w in range(self.words) for i in range(BITS // self.width)]
+
+
+INDEXES = [Index(1, 16, True), Index(2, 16, True), Index(4, 16, True), Index(4, 12, True), Index(8, 12, True), Index(16, 12, True),
+           Index(1, 16, False), Index(2, 16, False), Index(4, 12, False)]
+
+
+def fit(sample: np.ndarray, words: int = 1, centred: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, projection) of unit vectors: codes are ``(x - mean) @ projection > 0``."""
+    dim = sample.shape[1]
+    mean = sample.mean(axis=0) if centred else np.zeros(dim)
+    _, _, vt = np.linalg.svd(sample - mean, full_matrices=True)
+    out = []
+    for word in range(words):  # the next directions, from the first again after the last: another rotation tells them apart
+        base = vt[(np.arange(BITS) + word * BITS) % dim].T
+        v = (sample - mean) @ base
+        r, _ = np.linalg.qr(np.random.default_rng(7 + word).normal(size=(BITS, BITS)))
+        for _ in range(ROUNDS):
+            u, _, w = np.linalg.svd(np.where(v @ r > 0, 1.0, -1.0).T @ v)
+            r = (u @ w).T
+        out.append(base @ r)
+    return mean, np.concatenate(out, axis=1)
+
+
+def code(x: np.ndarray, mean: np.ndarray, proj: np.ndarray) -> np.ndarray:
+    """The code words of unit vectors, as longs."""
+    return np.packbits((x - mean) @ proj > 0, axis=1).copy().view(np.int64)
+
+
+def threshold_pairs(sample: np.ndarray, cosine: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors at exactly ``cosine``, of two kinds: each sample vector and one
+    turned in a random direction, and one turned towards another sample vector."""
+    rng = np.random.default_rng(11)
+    out = []
+    for away in (rng.normal(size=sample.shape), sample[rng.permutation(len(sample))]):
+        away = away - (away * sample).sum(axis=1, keepdims=True) * sample
+        size = np.linalg.norm(away, axis=1)
+        some = size > 1e-9
+        x, away = sample[some], away[some] / size[some, None]
+        if len(x):
+            out.append((x, cosine * x + np.sqrt(1 - cosine**2) * away))
+    return out
+
+
+def meets(a: np.ndarray, b: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """(whether some chunk differs in at most one bit, bits that differ)."""
+    bits = np.unpackbits((a ^ b).byteswap().view(np.uint8), axis=1).reshape(len(a), index.words, BITS)[:, :, ::-1]  # lowest bit first
+    near = np.zeros(len(a), bool)
+    for word, at in index.chunks():
+        near |= bits[:, word, at:at + index.width].sum(axis=1) <= 1
+    return near, bits.sum(axis=(1, 2))
+
+
+def choose(sample: np.ndarray, cosine: float, indexes: list[Index] = INDEXES) -> tuple[Index, int, np.ndarray, np.ndarray]:
+    """(index, radius, mean, projection) for a sample of unit vectors."""
+    pairs = threshold_pairs(sample, cosine)
+    best = None
+    for index in indexes:
+        mean, proj = fit(sample, index.words, index.centred)
+        kinds = [meets(code(x, mean, proj), code(y, mean, proj), index) for x, y in pairs]
+        # 1 of 1,000 sample pairs beyond the radius, and never below the one that centred vectors take
+        radius = max([BITS * index.words // 4, *(int(np.ceil(np.quantile(apart, 0.999))) for _, apart in kinds)])
+        recall = min((near.mean() for near, _ in kinds), default=1.0)
+        if best is None or recall > best[0]:
+            best = (recall, index, radius, mean, proj)
+        if recall >= RECALL:
+            break
+    return best[1:]
+
+
+def _codes(vectors: DataFrame, models: dict[int, tuple]) -> DataFrame:
+    """``code`` (words of 64 bits) of each row of ``vectors(id, g, v)``; ``models`` by length."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
+            for length, part in pdf.groupby(pdf["v"].map(len)):
+                x = np.stack(part["v"].to_numpy()).astype(np.float64)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
-                code = np.packbits((x - mean) @ proj > 0, axis=1).copy().view(np.int64)[:, 0]
-                yield pd.DataFrame({"id": pdf["id"], "g": plain(pdf["g"]), "code": code})
+                _, _, mean, proj = models[length]
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "g": plain(part["g"]), "code": list(code(x, mean, proj))})
 
-    return vectors.mapInPandas(run, "id long, g string, code long")
+    return vectors.mapInPandas(lean(run), "id long, g string, code array<long>")
 
 
 def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -93,14 +161,18 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFr
     one = rows.where("key IS NOT NULL").dropDuplicates(["key"]).select("key", "g", "v").join(sets, "key")
     one = stages.put(one, "members")
 
-    sample = one.where("v IS NOT NULL").orderBy(F.xxhash64("key")).limit(FIT_ROWS).select("v").toPandas()["v"]
-    found = None
-    if len(sample):
-        size = sample.map(len).mode()[0]
-        mean, proj = fit(np.stack([x for x in sample if len(x) == size]).astype(np.float64))
-        found = stages.put(_links(stages, one.where(F.size("v") == int(size)), mean, proj, cosine), "links")
-    else:
-        found = one.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
+    by = Window.partitionBy("size").orderBy("h", "key")
+    sample = one.select(F.size("v").alias("size"), F.xxhash64("key").alias("h"), "key", "v").withColumn("i", F.row_number().over(by))
+    models = {}
+    for size, part in sample.where(F.col("i") <= FIT_ROWS).select("size", "v").toPandas().groupby("size"):
+        x = np.stack(part["v"].to_numpy()).astype(np.float64)
+        models[int(size)] = choose(x / np.linalg.norm(x, axis=1, keepdims=True), cosine)
+    parts = []
+    for index in sorted({m[0] for m in models.values()}):  # lengths with the same index go together
+        some = {size: m for size, m in models.items() if m[0] == index}
+        mine = one.where(F.size("v").isin(list(some))).withColumn("g", F.concat_ws("|", F.size("v").cast("string"), "g"))
+        parts.append(stages.put(_links(stages, mine, some, index, cosine), "links"))
+    found = stages.together(parts) if parts else one.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
 
     # links between sets are links between all their copies
     copies = sets.select("key", "copies")
@@ -121,25 +193,32 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFr
                       c.alias("component_id"), F.col("vec_id").eqNullSafe(c).alias("kept"))
 
 
-def _links(stages: Stages, one: DataFrame, mean: np.ndarray, proj: np.ndarray, cosine: float) -> DataFrame:
+def _links(stages: Stages, one: DataFrame, models: dict[int, tuple], index: Index, cosine: float) -> DataFrame:
     """Linked pairs ``(a, b)`` of set keys.  In the index a member goes by a
     64-bit hash of its key; members that share one are all re-ranked."""
     one = one.select("g", "key", "v", F.xxhash64("key").alias("id"))
-    index = stages.put(_codes(one.select("id", "g", "v"), mean, proj).distinct(), "codes")
-    width = BITS // CHUNKS
-    chunk = [F.shiftrightunsigned("code", width * c).bitwiseAND(2**width - 1) for c in range(CHUNKS)]
-    table = F.array(*[F.struct(F.lit(c).alias("c"), chunk[c].alias("chunk")) for c in range(CHUNKS)])
-    probe = F.array(*[F.struct(F.lit(c).alias("c"), chunk[c].bitwiseXOR(p).alias("chunk"))
-                      for c in range(CHUNKS) for p in (0, *(1 << i for i in range(width)))])
-    x = index.select("g", F.col("id").alias("x"), F.col("code").alias("cx"), F.explode(probe).alias("t")).select("g", "x", "cx", "t.*")
-    y = index.select("g", F.col("id").alias("y"), F.col("code").alias("cy"), F.explode(table).alias("t")).select("g", "y", "cy", "t.*")
-    diff = F.col("cx").bitwiseXOR(F.col("cy"))
-    near = [F.bit_count(F.shiftrightunsigned(diff, width * c).bitwiseAND(2**width - 1)) <= 1 for c in range(CHUNKS)]
-    first = F.when(near[0], 0)
-    for c in range(1, CHUNKS):
-        first = first.when(near[c], c)
+    codes = stages.put(_codes(one.select("id", "g", "v"), models).distinct(), "codes")
+    mask = 2**index.width - 1
+    chunks = index.chunks()
+    chunk = [F.shiftrightunsigned(F.col("code")[w], at).bitwiseAND(mask) for w, at in chunks]
+    table = F.array(*[F.struct(F.lit(c).alias("c"), x.alias("chunk")) for c, x in enumerate(chunk)])
+    probe = F.array(*[F.struct(F.lit(c).alias("c"), x.bitwiseXOR(p).alias("chunk"))
+                      for c, x in enumerate(chunk) for p in (0, *(1 << i for i in range(index.width)))])
+    # a group's name begins with the length of its vectors
+    size = F.substring_index("g", "|", 1).cast("int")
+    radius = F.lit(None)
+    for length, m in models.items():
+        radius = F.when(size == length, m[1]).otherwise(radius)
+    x = codes.select("g", radius.alias("radius"), F.col("id").alias("x"), F.col("code").alias("cx"), F.explode(probe).alias("t")).select("g", "radius", "x", "cx", "t.*")
+    y = codes.select("g", F.col("id").alias("y"), F.col("code").alias("cy"), F.explode(table).alias("t")).select("g", "y", "cy", "t.*")
+    diff = [F.col("cx")[w].bitwiseXOR(F.col("cy")[w]) for w in range(index.words)]
+    apart = sum((F.bit_count(d) for d in diff[1:]), F.bit_count(diff[0]))
+    first = None
+    for c, (w, at) in enumerate(chunks):
+        near = F.bit_count(F.shiftrightunsigned(diff[w], at).bitwiseAND(mask)) <= 1
+        first = F.when(near, c) if first is None else first.when(near, c)
     # a pair is made in the first table where it meets only
-    pairs = x.join(y, ["g", "c", "chunk"]).where((F.col("x") < F.col("y")) & (F.bit_count(diff) <= RADIUS) & (first == F.col("c")))
+    pairs = x.join(y, ["g", "c", "chunk"]).where((F.col("x") < F.col("y")) & (apart <= F.col("radius")) & (first == F.col("c")))
     pairs = stages.put(pairs.select("g", "x", "y").distinct(), "candidates")
     left = one.select("g", F.col("id").alias("x"), F.col("key").alias("a"), F.col("v").alias("va"))
     right = one.select("g", F.col("id").alias("y"), F.col("key").alias("b"), F.col("v").alias("vb"))

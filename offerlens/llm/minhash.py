@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, bloom_filters, connected_components, passing, ship
+from offerlens.llm.common import Stages, bloom_filters, connected_components, lean, passing, ship
 
 ship(__name__)
 
@@ -156,7 +156,7 @@ def signatures(items: DataFrame, n: int, bands: int, rows: int, longs: int) -> D
                                 "bands": [x[2] for x in out], "sketch": [x[3] for x in out]})
 
     return items.select("id", F.col("body").cast("binary").alias("body")).mapInPandas(
-        run, "id long, n long, key binary, bands array<long>, sketch array<long>")
+        lean(run), "id long, n long, key binary, bands array<long>, sketch array<long>")
 
 
 def full_sets(items: DataFrame, n: int) -> DataFrame:
@@ -169,7 +169,7 @@ def full_sets(items: DataFrame, n: int) -> DataFrame:
                 part = pdf.iloc[lo:lo + SLICE]
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "set": [shingles(x, n, hashes).view(np.int64) for x in part["body"]]})
 
-    return items.mapInPandas(run, "id long, set array<long>")
+    return items.mapInPandas(lean(run), "id long, set array<long>")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

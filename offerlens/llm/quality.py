@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, fold, plain, read_table, ship
+from offerlens.llm.common import Stages, fold, lean, plain, read_table, ship
 from offerlens.llm.registry import register
 
 ship(__name__)
@@ -160,7 +160,7 @@ def feature_table(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": plain(pdf["doc_id"]), "x": [features(b) for b in pdf["body"]]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("binary").alias("body")).mapInPandas(run, f"doc_id {kind}, x array<double>")
+    return docs.select("doc_id", F.col("text").cast("binary").alias("body")).mapInPandas(lean(run), f"doc_id {kind}, x array<double>")
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 4, held: int = 2,

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, bloom_filters, bloom_places, plain, read_table, ship, unpack
+from offerlens.llm.common import Stages, bloom_filters, bloom_places, lean, plain, read_table, ship, unpack
 from offerlens.llm.registry import register
 
 ship(__name__)
@@ -249,7 +249,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
                 h, n = np.unique(hashes.of(p, p + GRAM), return_counts=True)
                 yield pd.DataFrame({"h": h.view(np.int64), "n": n})
 
-    return texts.select("body").mapInPandas(run, "h long, n long")
+    return texts.select("body").mapInPandas(lean(run), "h long, n long")
 
 
 def surroundings(texts: DataFrame, filter_: bytes) -> DataFrame:
@@ -273,7 +273,7 @@ def surroundings(texts: DataFrame, filter_: bytes) -> DataFrame:
                                     "c2": hashes.of(lo, hi + SPAN, 1).view(np.int64),
                                     "key": plain(pdf["key"])[np.array(rows)[doc]], "lo": lo - begin, "hi": hi - begin})
 
-    return texts.mapInPandas(run, "h long, c1 long, c2 long, key string, lo long, hi long")
+    return texts.mapInPandas(lean(run), "h long, c1 long, c2 long, key string, lo long, hi long")
 
 
 def set_texts(texts: DataFrame, filter_: bytes) -> DataFrame:
@@ -309,7 +309,7 @@ def set_texts(texts: DataFrame, filter_: bytes) -> DataFrame:
                         "left": [raw[u:v] for u, v in zip(left, a)], "right": [raw[u:v] for u, v in zip(a + SHARED, e)],
                         "key": plain(pdf["key"])[np.array(rows)[doc[on]]], "at": a - begin[on]})
 
-    return texts.mapInPandas(run, "s1 long, s2 long, j int, left binary, right binary, key string, at long")
+    return texts.mapInPandas(lean(run), "s1 long, s2 long, j int, left binary, right binary, key string, at long")
 
 
 def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -350,7 +350,7 @@ def repeated_windows(stages: Stages, texts: DataFrame) -> DataFrame:
     sets = stages.put(sets, "sets")
     small = one.join(sets.where(F.col("texts") <= SET_TEXTS), ["s1", "s2", "j"], "left_semi").select(*name)
     small = small.repartition("s1", "s2", "j").sortWithinPartitions("s1", "s2", "j")
-    found = small.mapInPandas(_arrays, "s1 long, s2 long, j int, left binary, right binary, starts int")
+    found = small.mapInPandas(lean(_arrays), "s1 long, s2 long, j int, left binary, right binary, starts int")
     # the windows of a large set, grouped by what they hold beside the shared bytes
     large = one.join(sets.where(F.col("texts") > SET_TEXTS), ["s1", "s2", "j"], "left_semi")
     k = F.explode(F.sequence(F.greatest(F.lit(0), STEP - 1 - F.length("right")), F.length("left")))

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, fold, plain, read_table, ship
+from offerlens.llm.common import Stages, fold, lean, plain, read_table, ship
 from offerlens.llm.registry import register
 
 ship(__name__)
@@ -210,7 +210,7 @@ def hard_negatives(by: DataFrame, weights: np.ndarray, bias: float) -> list[str]
             known.learn(set(pdf["w"]))
             yield pd.DataFrame({"w": plain(pdf["w"]), "m": pdf["w"].map(known.__getitem__)})
 
-    m = by.where("b > 0 AND a * 20 <= b").select("w").mapInPandas(run, "w string, m double")
+    m = by.where("b > 0 AND a * 20 <= b").select("w").mapInPandas(lean(run), "w string, m double")
     return [r["w"] for r in m.orderBy(F.desc("m"), "w").limit(2000).collect()]
 
 
@@ -262,7 +262,7 @@ def document_margins(docs: DataFrame, weights: np.ndarray, bias: float) -> DataF
             yield pd.DataFrame({"doc_id": plain(pdf["doc_id"]), "margin": np.maximum(out, LOWEST)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, margin double")
+    return docs.select("doc_id", "text").mapInPandas(lean(run), f"doc_id {kind}, margin double")
 
 
 def platt(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:

@@ -180,6 +180,77 @@ def test_vectors_special_cases(spark):
     assert near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
 
 
+def brute_links(x, label):
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = (unit @ unit.T >= 0.98) & (label[:, None] == label[None, :])
+    return link.sum(axis=1) - 1
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.8, 0.9, 0.95])
+def test_vector_recall_with_a_common_mean(spark, mean):
+    """Recall of pairs just above the threshold when all vectors share a direction."""
+    from offerlens.llm.itq import near_duplicate_vectors
+    r = np.random.default_rng(4)
+    m = r.normal(size=64)
+    u = r.normal(size=(1500, 64))
+    a = np.sqrt(mean) * m / np.linalg.norm(m) + np.sqrt(1 - mean) * u / np.linalg.norm(u, axis=1, keepdims=True)
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    d = r.normal(size=a.shape)
+    d -= (d * a).sum(axis=1, keepdims=True) * a
+    x = np.concatenate([a, 0.981 * a + np.sqrt(1 - 0.981**2) * d / np.linalg.norm(d, axis=1, keepdims=True)])
+    label = np.arange(len(x)) % 1500 % 3
+    data = [(i, [float(v) for v in row], int(g)) for i, (row, g) in enumerate(zip(x, label))]
+    got = {v.vec_id: v.n_links for v in near_duplicate_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")).collect()}
+    want = brute_links(x, label)
+    assert all(got[i] <= want[i] for i in range(len(x)))
+    assert sum(got.values()) >= 0.93 * want.sum() >= 0.93 * 3000
+
+
+def test_vectors_of_every_length(spark):
+    """Lengths of few vectors are indexed too; ids may repeat, extra columns may clash."""
+    from offerlens.llm.itq import near_duplicate_vectors
+    r = np.random.default_rng(5)
+    long = r.normal(size=(40, 24))
+    data = [(i, [float(v) for v in row], 1, "g", "v") for i, row in enumerate(long)]
+    data += [(100, [1.0, 2.0, 3.0], 1, "g", "v"), (101, [1.0, 2.001, 3.0], 1, "g", "v"), (102, [-1.0, 2.0, 3.0], 1, "g", "v"),
+             (103, [1.0, 2.0, 3.0], 2, "g", "v"), (110, [2.0], 1, "g", "v"), (111, [5.0], 1, "g", "v"), (112, [-5.0], 1, "g", "v"),
+             (120, [3.0, 1.0], 1, "g", "v"), (120, [0.0, 1.0], 1, "g", "v"), (None, [3.0, 1.0], 1, "g", "v")]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int, key string, code string")
+    got = [(v.vec_id, v.n_links, v.component_id) for v in near_duplicate_vectors(frame).collect() if v.vec_id is None or v.vec_id >= 100]
+    assert sorted(got, key=str) == sorted([(100, 1, 100), (101, 1, 100), (102, 0, 102), (103, 0, 103), (110, 1, 110), (111, 1, 110),
+                                           (112, 0, 112), (120, 0, 120), (120, 0, 120), (None, 0, None)], key=str)
+
+
+def test_html_class_names():
+    """Names of boilerplate count as whole names only."""
+    from offerlens.llm.html import main_text
+    body = "Many words of the article stand here, more than in any menu of the page."
+    for name in ('class="table-responsive"', 'class="elementor-widget-wrap"', 'id="related-work"', 'class="search-algorithms"', 'class="share-prices"'):
+        page = f"<body><article><p>{body}</p><section {name}><p>{body}</p></section></article></body>"
+        assert main_text(page) == f"{body}\n{body}", name
+    for name in ('class="ad"', 'class="x ad-slot"', 'id="comments"', 'class="cookie-notice"', 'class="related-posts"', 'class="site-header"',
+                 'id="left_sidebar"', 'class="newsletter-signup"', 'role="search"', 'class="social-share-buttons"'):
+        page = f"<body><article><p>{body}</p><div {name}><p>Buy.</p></div></article></body>"
+        assert main_text(page) == body, name
+
+
+def test_html_rows(spark):
+    """Nulls, empty pages, repeated rows, clashing columns, an empty table; pages made of known blocks."""
+    from offerlens.llm.html import extract
+    r = random.Random(8)
+    made = []
+    for i in range(30):
+        blocks = [prose(100 * i + k, r.randint(1, 40)) for k in range(r.randint(1, 9))]
+        inner = "".join(f"<p>{b.replace(' ', chr(10) * r.randint(1, 2), 1)}</p>" + '<div class="ad">Buy now</div>' * r.randint(0, 1) for b in blocks)
+        page = f"<html><body><nav><a href=x>Home</a></nav><article>{inner}</article><footer>&copy; all</footer></body></html>"
+        made.append((i, f"u{i}", page, "t", 3, "\n".join(blocks)))
+    odd = [(50, None, None, "t", 3, ""), (None, "u", "", "t", 3, ""), (None, "u", "", "t", 3, ""), (51, "u", "<p>a &lt; b", "t", 3, "a < b")]
+    frame = spark.createDataFrame(made + odd, "page_id long, url string, html string, text string, n_chars long, want string")
+    got = [tuple(x) for x in extract(frame).collect()]
+    assert sorted(got, key=str) == sorted([(i, u, w, len(w)) for i, u, _, _, _, w in made + odd], key=str)
+    assert extract(frame.limit(0)).collect() == []
+
+
 def test_html():
     from offerlens.llm.html import main_text
     page = """<html><head><title>t</title><script>var x="<p>no</p>";</script></head><body><header><h1>Site</h1></header>
