@@ -4,8 +4,10 @@ whole job, with the rows shuffled no more often than needed."""
 import datetime as dt
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from offerlens import session
 from offerlens.functions import running as R
 from offerlens.operators import features as feat
 from offerlens.operators import prep
@@ -80,3 +82,27 @@ def test_quantiles_sort_only_what_is_near_them(spark, monkeypatch):
     want = df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in (0.05, 0.5, 1.0)])).alias("q")).collect()
     assert len(got) == 4 and all(abs(x - y) < 1e-12 for r in want for x, y in zip(got[r["g"]], r["q"]))
     assert sum(sorted_rows) < 2_000
+
+
+def test_a_stage_is_written_by_small_tasks(spark, monkeypatch):
+    monkeypatch.setattr(session, "STAGE_TASK_SIZE", "1m")
+    keys = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(k, None) for k in keys]
+    rows = spark.range(400_000).withColumn("v", F.md5(F.col("id").cast("string")))
+    got = session.stage(rows.withColumn("n", F.count("*").over(Window.partitionBy("v"))), "small_tasks")
+    assert got.count() == 400_000 and got.agg(F.max("n")).first()[0] == 1
+    assert len(got.inputFiles()) > 4  # the session's number of shuffle partitions
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
+def test_stores_are_written_by_small_tasks(spark, monkeypatch, tmp_path):
+    from offerlens.sources import io
+    monkeypatch.setattr(io, "FOLDER_TASK_SIZE", "1m")
+    rows = spark.range(400_000).withColumn("organization_id", F.md5(F.col("id").cast("string"))).repartition("organization_id")
+    rows = rows.withColumn("n", F.count("*").over(Window.partitionBy("organization_id"))).withColumn("organization_id", F.lit("A"))
+    io.write_versioned(rows, str(tmp_path / "versions"))
+    io.write_partitioned_csv(rows, str(tmp_path / "csv"))
+    io.write_parquet(rows, str(tmp_path / "parquet"))
+    back = [io.read_latest_version(spark, str(tmp_path / "versions")), spark.read.csv(str(tmp_path / "csv"), header=True),
+            spark.read.parquet(str(tmp_path / "parquet"))]
+    assert all(b.count() == 400_000 and len(b.inputFiles()) > 4 for b in back)
