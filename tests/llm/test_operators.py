@@ -122,6 +122,17 @@ def test_suffix_dedup_brute_force(spark, odd, none, monkeypatch, limit):
     assert suffixes.remove_repeats(none).collect() == []
 
 
+def test_suffix_dedup_query_returns_the_kept_text(spark, tmp_path):
+    from offerlens.llm import suffixes
+    passage, ends = prose(21, 90)[:420], [(prose(31, 9), prose(61, 9)), (prose(32, 9), prose(62, 9))]
+    docs = [(i, f"{a}{passage}{b}") for i, (a, b) in enumerate(ends)] + [(2, prose(33, 20)), (3, None), (4, passage)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in suffixes.op6(spark, str(tmp_path)).collect()}
+    assert got[2].text == prose(33, 20) and got[3].text == got[4].text == "" and got[4].n_removed == 420
+    assert all(passage not in r.text and hashlib.sha256(r.text.encode()).hexdigest() == r.kept_sha256 for r in got.values())
+    assert got[0].n_removed >= 420 and got[0].n_bytes == len(docs[0][1])
+
+
 def test_paragraphs(spark, odd, none):
     from offerlens.llm.paragraphs import repeated_paragraphs
     p, q = prose(40, 60), prose(41, 60)
