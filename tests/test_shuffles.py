@@ -89,7 +89,7 @@ def test_a_stage_is_written_by_small_tasks(spark, monkeypatch):
     keys = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
     before = [spark.conf.get(k, None) for k in keys]
     rows = spark.range(400_000).withColumn("v", F.md5(F.col("id").cast("string")))
-    got = session.stage(rows.withColumn("n", F.count("*").over(Window.partitionBy("v"))), "small_tasks")
+    got = session.stage(rows.withColumn("n", F.count("*").over(Window.partitionBy("v"))), "small_tasks", fine=True)
     assert got.count() == 400_000 and got.agg(F.max("n")).first()[0] == 1
     assert len(got.inputFiles()) > 4  # the session's number of shuffle partitions
     assert [spark.conf.get(k, None) for k in keys] == before
