@@ -8,9 +8,9 @@ one's docs.  All but the last return the columns of ``documents``.
   predicts to be toxic;
 * ``near_dedup`` keeps the smallest id of every group of near copies
   (five-word shingles, similarity 0.8 or more);
-* ``suffix_dedup`` removes every byte inside a 400-byte string that occurs
-  elsewhere as well (a character cut at an edge goes whole); the
-  document stays with what remains;
+* ``suffix_dedup`` removes every run of bytes inside 200-byte strings that occur
+  elsewhere as well, if it holds more than 50 words or 400 bytes (a character cut
+  at an edge goes whole); the document stays with what remains;
 * ``benchmark_decontamination`` drops the documents that contain a window of a benchmark
   item;
 * ``mix`` returns what the mix to target weights takes of every document.
@@ -36,6 +36,8 @@ from offerlens.llm.oddsketch import near_duplicate_documents
 from offerlens.llm.suffixes import remove_repeats
 from offerlens.llm.toxicity import score_documents
 
+# a repeated passage: more than so many words, found by strings of so many bytes
+PASSAGE_WORDS, PASSAGE_SPAN = 50, 200
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -63,7 +65,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = remove_repeats(docs.select(*COLUMNS))
+    out = remove_repeats(docs.select(*COLUMNS), PASSAGE_SPAN, PASSAGE_WORDS)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return out.withColumn("text", text).withColumn(
         "n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, fold, lean, plain, read_table, ship
+from offerlens.llm.common import Stages, fold, lean, plain, read_table, release, ship
 from offerlens.llm.registry import register
 
 ship(__name__)
@@ -121,7 +121,11 @@ def kernel(words: list[str], marks: np.ndarray) -> np.ndarray:
     """Normalised kernel of words and embedded landmarks."""
     used = np.flatnonzero(marks.any(axis=0))
     m = np.ascontiguousarray(marks[:, used].T)
-    return np.concatenate([embed(words[i:i + 500])[:, used] @ m for i in range(0, len(words), 500)])
+    out = []
+    for i in range(0, len(words), 500):
+        few = [embed(words[k:k + 50])[:, used] for k in range(i, min(i + 500, len(words)), 50)]  # all subsequences of a few words at once
+        out.append(np.concatenate(few) @ m)
+    return np.concatenate(out)
 
 
 def margins(words: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
@@ -293,6 +297,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, modulus: int = 3, held:
     weights, bias = fit(witnesses, others)
     if weights.any():
         weights, bias = fit(witnesses, others + hard_negatives(by, weights, bias))
+    release()
     table = stages.put(document_margins(docs, weights, bias), "margins")
     train = table.join(known, "doc_id").select("doc_id", "margin", "y").toPandas().sort_values(["doc_id", "margin", "y"])
     y = train["y"].to_numpy(float)

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -122,6 +123,49 @@ def test_suffix_dedup_brute_force(spark, odd, none, monkeypatch, limit):
     assert suffixes.remove_repeats(none).collect() == []
 
 
+@pytest.mark.parametrize("limit", [1000, 1])
+def test_suffix_dedup_of_passages_brute_force(spark, odd, monkeypatch, limit):
+    """Runs of 200-byte strings go with more than 50 words or 400 bytes."""
+    import corpus_pipeline as p
+    from offerlens.llm import suffixes
+    monkeypatch.setattr(suffixes, "SET_TEXTS", limit)
+    short, few, wide = (prose(seed, 90).split() for seed in (22, 23, 24))
+    short = [w[:4] for w in short]
+    shared = [" ".join(short[:51]), " ".join(few[:40])[:390], " ".join(w * 3 for w in wide[:30])]
+    texts = [(300 + i, f"{prose(40 + i, 30 + i)} {' '.join(shared[k:k + 1])} {prose(80 + i, 30 + i)}") for i in range(9) for k in (i % 3,)]
+    docs = odd.union(spark.createDataFrame(rows(texts), DOCS))
+    data = [((r.text or "").encode(), r.doc_id) for r in docs.collect()]
+    n = collections.Counter(b[i:i + 200] for b, _ in data for i in range(len(b) - 199))
+    want, seen = [], set()
+    for b, i in data:
+        gone = bytearray(len(b) + 1)
+        for k in range(len(b) - 199):
+            if n[b[k:k + 200]] > 1:
+                gone[k:k + 200] = b"\1" * 200
+        kept, at = b"", 0
+        for m in re.finditer(b"\1+", bytes(gone)):
+            words = sum(m.start() <= w.start() and w.end() <= m.end() for w in re.finditer(rb"[^\x20\x09-\x0D]+", b))
+            seen.add((words > 50, m.end() - m.start() >= 400))
+            if words > 50 or m.end() - m.start() >= 400:
+                kept, at = kept + b[at:m.start()], m.end()
+        kept += b[at:]
+        want.append((i, len(b), len(b) - len(kept), hashlib.sha256(kept).hexdigest()))
+    assert {(True, False), (False, False), (False, True)} <= seen
+    got = suffixes.remove_repeats(docs, p.PASSAGE_SPAN, p.PASSAGE_WORDS).select("doc_id", "n_bytes", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_pipeline_removes_short_worded_passages(spark):
+    """A passage of 51 words in fewer than 400 bytes goes from every document."""
+    import corpus_pipeline as p
+    passage = " ".join(w[:4] for w in prose(25, 51).split())
+    assert len(passage) < 400 and len(passage.split()) == 51
+    texts = [(i, f"{prose(50 + i, 30)} {passage} {prose(90 + i, 30)}") for i in range(3)] + [(9, prose(99, 60))]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in p.suffix_dedup(spark, docs, "").collect()}
+    assert got[9] == texts[3][1] and all(passage not in got[i] and prose(50 + i, 30) in got[i] for i in range(3))
+
+
 def test_suffix_dedup_query_returns_the_kept_text(spark, tmp_path):
     from offerlens.llm import suffixes
     passage, ends = prose(21, 90)[:420], [(prose(31, 9), prose(61, 9)), (prose(32, 9), prose(62, 9))]
