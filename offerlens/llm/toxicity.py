@@ -162,11 +162,12 @@ def fit(witnesses: list[str], others: list[str]) -> tuple[np.ndarray, float]:
     weight = np.where(y > 0, len(neg) / len(pos) * 0.5, 1.0)
     # squared hinge loss by Newton steps on the active rows
     x1 = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    del x, e_pos
     v = np.zeros(x1.shape[1])
     for _ in range(40):
         active = y * (x1 @ v) < 1
         a = x1[active] * weight[active, None]
-        h = a.T @ x1[active] + np.diag([1.0] * x.shape[1] + [1e-3])
+        h = a.T @ x1[active] + np.diag([1.0] * len(marks) + [1e-3])
         new = np.linalg.solve(h, a.T @ y[active])
         if np.abs(new - v).max() < 1e-6:
             break

@@ -177,6 +177,29 @@ def test_suffix_dedup_query_returns_the_kept_text(spark, tmp_path):
     assert got[0].n_removed >= 420 and got[0].n_bytes == len(docs[0][1])
 
 
+def test_bloom_filters_move_few_bytes_for_few_keys(spark, monkeypatch):
+    from pyspark import RDD
+
+    from offerlens.llm.common import BLOOM_BITS, bloom_filters, bloom_places, unpack
+    sent = []
+    aggregate = RDD.treeAggregate
+
+    def seen(rdd, zero, *ops):
+        sent.extend([len(zero), *rdd.map(len).collect()])
+        return aggregate(rdd, zero, *ops)
+
+    monkeypatch.setattr(RDD, "treeAggregate", seen)
+    keys = spark.range(0, 90, 1, 40).selectExpr("id * 7919 AS a", "-id AS b")
+    got = bloom_filters(keys)
+    for f, column in zip(got, ("a", "b")):
+        want = np.zeros(2**BLOOM_BITS, bool)
+        for at in bloom_places(np.array([r[column] for r in keys.collect()], np.int64).view(np.uint64)):
+            want[at] = True
+        assert (unpack(f) == want).all()
+    assert len(sent) == 41 and sum(sent) < 2_000_000
+    assert bloom_filters(keys.where("a < 0")) == [bytes(2**BLOOM_BITS // 8)] * 2
+
+
 def test_paragraphs(spark, odd, none):
     from offerlens.llm.paragraphs import repeated_paragraphs
     p, q = prose(40, 60), prose(41, 60)
