@@ -37,8 +37,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import Stages, connected_components, lean, plain, read_table, ship
+from offerlens.llm.common import Stages, connected_components, lean, plain, read_table, release, ship, sorted_join
 from offerlens.llm.registry import register
+from offerlens.session import fine_tasks
 
 ship(__name__)
 
@@ -158,7 +159,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFr
     v = v.withColumn("key", F.when(F.col("v").isNotNull(), F.md5(F.concat_ws("|", "g", F.to_json("v")).cast("binary"))))
     rows = stages.put(v, "rows")
     sets = stages.put(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), "sets")
-    one = rows.where("key IS NOT NULL").dropDuplicates(["key"]).select("key", "g", "v").join(sets, "key")
+    one = rows.where("key IS NOT NULL").dropDuplicates(["key"]).select("key", "g", "v").join(sorted_join(sets), "key")
     one = stages.put(one, "members")
 
     by = Window.partitionBy("size").orderBy("h", "key")
@@ -167,27 +168,30 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFr
     for size, part in sample.where(F.col("i") <= FIT_ROWS).select("size", "v").toPandas().groupby("size"):
         x = np.stack(part["v"].to_numpy()).astype(np.float64)
         models[int(size)] = choose(x / np.linalg.norm(x, axis=1, keepdims=True), cosine)
+    release()
     parts = []
     for index in sorted({m[0] for m in models.values()}):  # lengths with the same index go together
         some = {size: m for size, m in models.items() if m[0] == index}
         mine = one.where(F.size("v").isin(list(some))).withColumn("g", F.concat_ws("|", F.size("v").cast("string"), "g"))
-        parts.append(stages.put(_links(stages, mine, some, index, cosine), "links"))
+        links = _links(stages, mine, some, index, cosine)
+        with fine_tasks(spark, parts=1):  # vectors are sorted: the session's number of parts, small tasks
+            parts.append(stages.put(links, "links"))
     found = stages.together(parts) if parts else one.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
 
     # links between sets are links between all their copies
     copies = sets.select("key", "copies")
     both = found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = stages.put(both.join(copies.withColumnRenamed("key", "b"), "b").groupBy("a").agg(F.sum("copies").alias("near")), "near")
+    near = stages.put(both.join(sorted_join(copies.withColumnRenamed("key", "b")), "b").groupBy("a").agg(F.sum("copies").alias("near")), "near")
     ids = sets.select("key", "id")
-    edges = (found.join(ids.select(F.col("key").alias("a"), F.col("id").alias("x")), "a")
-             .join(ids.select(F.col("key").alias("b"), F.col("id").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    edges = (found.join(sorted_join(ids.select(F.col("key").alias("a"), F.col("id").alias("x"))), "a")
+             .join(sorted_join(ids.select(F.col("key").alias("b"), F.col("id").alias("y"))), "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
     # rows that share an id are one vector of several forms: they hang together
-    same = rows.where("key IS NOT NULL").join(sets, "key").where("vec_id <> id").select(F.col("vec_id").alias("a"), F.col("id").alias("b"))
+    same = rows.where("key IS NOT NULL").join(sorted_join(sets), "key").where("vec_id <> id").select(F.col("vec_id").alias("a"), F.col("id").alias("b"))
     repeated = rows.groupBy("vec_id").agg(F.countDistinct("key").alias("forms")).where("forms > 1").select("vec_id")
-    same = same.join(repeated, F.col("a") == F.col("vec_id"), "left_semi")
+    same = same.join(sorted_join(repeated), F.col("a") == F.col("vec_id"), "left_semi")
     comp = connected_components(stages, edges.union(same))
-    out = rows.select("vec_id", "key").join(sets, "key", "left").join(near, F.col("key") == F.col("a"), "left")
-    out = out.withColumn("start", F.coalesce("id", "vec_id")).join(comp, F.col("start") == F.col("node"), "left")
+    out = rows.select("vec_id", "key").join(sorted_join(sets), "key", "left").join(sorted_join(near), F.col("key") == F.col("a"), "left")
+    out = out.withColumn("start", F.coalesce("id", "vec_id")).join(sorted_join(comp), F.col("start") == F.col("node"), "left")
     c = F.coalesce("component", "start")
     return out.select("vec_id", (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("near", F.lit(0))).cast("long").alias("n_links"),
                       c.alias("component_id"), F.col("vec_id").eqNullSafe(c).alias("kept"))
@@ -218,20 +222,23 @@ def _links(stages: Stages, one: DataFrame, models: dict[int, tuple], index: Inde
         near = F.bit_count(F.shiftrightunsigned(diff[w], at).bitwiseAND(mask)) <= 1
         first = F.when(near, c) if first is None else first.when(near, c)
     # a pair is made in the first table where it meets only
-    pairs = x.join(y, ["g", "c", "chunk"]).where((F.col("x") < F.col("y")) & (apart <= F.col("radius")) & (first == F.col("c")))
+    pairs = x.join(sorted_join(y), ["g", "c", "chunk"]).where((F.col("x") < F.col("y")) & (apart <= F.col("radius")) & (first == F.col("c")))
     pairs = stages.put(pairs.select("g", "x", "y").distinct(), "candidates")
     left = one.select("g", F.col("id").alias("x"), F.col("key").alias("a"), F.col("v").alias("va"))
     right = one.select("g", F.col("id").alias("y"), F.col("key").alias("b"), F.col("v").alias("vb"))
 
     @F.pandas_udf("boolean")
-    def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype=bool)
-        u, w = np.stack(a.to_numpy()), np.stack(b.to_numpy())
-        dot = np.einsum("ij,ij->i", u, w)
-        return pd.Series(dot / (np.sqrt(np.einsum("ij,ij->i", u, u)) * np.sqrt(np.einsum("ij,ij->i", w, w))) >= cosine)
-
-    return pairs.join(right, ["g", "y"]).join(left, ["g", "x"]).where(linked("va", "vb")).select("a", "b")
+    def linked(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b in batches:
+            if not len(a):
+                yield pd.Series([], dtype=bool)
+                continue
+            u, w = np.stack(a.to_numpy()), np.stack(b.to_numpy())
+            dot = np.einsum("ij,ij->i", u, w)
+            yield pd.Series(dot / (np.sqrt(np.einsum("ij,ij->i", u, u)) * np.sqrt(np.einsum("ij,ij->i", w, w))) >= cosine)
+        release()
+
+    return pairs.join(sorted_join(right), ["g", "y"]).join(sorted_join(left), ["g", "x"]).where(linked("va", "vb")).select("a", "b")
 
 
 ORACLE = r"""
